@@ -4,6 +4,8 @@ from cellpulse.catalog.forecast_queries import FORECAST
 from cellpulse.catalog.forecast_sql import FORECAST_SQL
 from cellpulse.catalog.monitoring_queries import MONITORING
 from cellpulse.catalog.monitoring_sql import MONITORING_SQL
+from cellpulse.catalog.stats_queries import STATS
+from cellpulse.catalog.stats_sql import STATS_SQL
 
-QUERIES = {**MONITORING, **FORECAST}
-ORACLES = {**MONITORING_SQL, **FORECAST_SQL}
+QUERIES = {**MONITORING, **FORECAST, **STATS}
+ORACLES = {**MONITORING_SQL, **FORECAST_SQL, **STATS_SQL}

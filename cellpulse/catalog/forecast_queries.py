@@ -87,7 +87,7 @@ def _facts(spark, sf, kpi):
 
 
 def fc_fact_rows(spark, sf):
-    return rounded(_facts(spark, sf, "throughput_dl_mbps"), 3)
+    return _facts(spark, sf, "throughput_dl_mbps")
 
 
 def fc_samples(spark, sf):
@@ -101,11 +101,11 @@ def fact_union(spark, sf):
     paths = [f"{root}/{kpi}" for kpi in schema.FORECAST_UNITS]
     for kpi, path in list(zip(schema.FORECAST_UNITS, paths))[:3]:  # the fourth stays missing
         files.write_csv(_facts(spark, sf, kpi), path, files.MICROS)
-    return rounded(files.union_facts(spark, paths, files.MICROS), 3)
+    return files.union_facts(spark, paths, files.MICROS)
 
 
 def fc_window_model(spark, sf):
-    scores, _, _ = fc.train_window_models(kpi_view(spark, sf), LATENCY)
+    scores, _ = fc.train_window_models(kpi_view(spark, sf), LATENCY)
     return rounded(scores, 4)
 
 

@@ -52,10 +52,10 @@ def _persist(kpi: str) -> str:
 
 def _fact(kpi: str) -> str:
     return (f"SELECT \"timestamp\", cell_id, ue_id, slice_type, '{kpi}' AS kpi_name, "
-            "round(round(target, 4), 3) AS actual_value, "
-            "round(round(prediction, 4), 3) AS predicted_value, "
-            "round(round(prediction + 1.5 * mae, 4), 3) AS confidence_upper, "
-            "round(round(greatest(0.0::DOUBLE, prediction - 1.5 * mae), 4), 3) AS "
+            "round(target, 4) AS actual_value, "
+            "round(prediction, 4) AS predicted_value, "
+            "round(prediction + 1.5 * mae, 4) AS confidence_upper, "
+            "round(greatest(0.0::DOUBLE, prediction - 1.5 * mae), 4) AS "
             f"confidence_lower, 'persistence' AS model_name FROM ({_persist(kpi)}), "
             f"(SELECT avg(abs(prediction - target)) AS mae FROM ({_persist(kpi)}) WHERE rn > 12) "
             "WHERE rn > 12")
