@@ -1,5 +1,7 @@
 """All registered queries and the SQL they are checked against."""
 
+from cellpulse.catalog.evaluation_queries import EVALUATION
+from cellpulse.catalog.evaluation_sql import EVALUATION_SQL
 from cellpulse.catalog.forecast_queries import FORECAST
 from cellpulse.catalog.forecast_sql import FORECAST_SQL
 from cellpulse.catalog.monitoring_queries import MONITORING
@@ -7,5 +9,5 @@ from cellpulse.catalog.monitoring_sql import MONITORING_SQL
 from cellpulse.catalog.stats_queries import STATS
 from cellpulse.catalog.stats_sql import STATS_SQL
 
-QUERIES = {**MONITORING, **FORECAST, **STATS}
-ORACLES = {**MONITORING_SQL, **FORECAST_SQL, **STATS_SQL}
+QUERIES = {**MONITORING, **FORECAST, **STATS, **EVALUATION}
+ORACLES = {**MONITORING_SQL, **FORECAST_SQL, **STATS_SQL, **EVALUATION_SQL}

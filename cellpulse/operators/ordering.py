@@ -94,6 +94,43 @@ def quantiles(df: DataFrame, value: str, probs: list, keys: list = (),
     return out.select(*keys, "n", *cols)
 
 
+def quantile_grid(df: DataFrame, value: str, points: int, keys: list) -> DataFrame:
+    """Exact quantiles at ``points`` even shares from 0 to 1, as the array ``marks`` per key.
+
+    Each distinct value names the shares whose lower or upper neighbour it is, so that
+    2 * ``points`` rows per key are left, whatever the number of values.
+    """
+    counts = (df.where(F.col(value).isNotNull()).groupBy(*keys, value)
+              .agg(F.count(F.lit(1)).alias("_n")))
+    last = points - 1
+    runs = running_totals(counts, [value], ["_n"], keys).select(
+        *keys, value, F.expr("_n_total - 1").alias("_gap"),
+        F.expr("_n_cum - _n").alias("_from"), F.col("_n_cum").alias("_to"))
+    # Share i lies at position i * gap / last; whole-number arithmetic keeps it exact.
+    low = F.expr(f"""CASE WHEN _gap = 0 THEN sequence(0L, {last}L)
+        ELSE filter(sequence((_from * {last} + _gap - 1) div _gap,
+                             greatest((_to * {last} + _gap - 1) div _gap - 1,
+                                      (_from * {last} + _gap - 1) div _gap)),
+                    i -> i <= {last} AND (i * _gap) div {last} >= _from
+                         AND (i * _gap) div {last} < _to) END""")
+    high = F.expr(f"""CASE WHEN _gap = 0 THEN sequence(0L, {last}L)
+        ELSE filter(sequence(greatest(0L, ((_from - 1) * {last}) div _gap),
+                             greatest(0L, ((_to - 1) * {last}) div _gap)),
+                    i -> i <= {last} AND (i * _gap + {last} - 1) div {last} >= _from
+                         AND (i * _gap + {last} - 1) div {last} < _to) END""")
+    sides = [runs.select(*keys, "_gap", F.col(value).alias("_v"), F.explode(shares).alias("_i"),
+                         F.lit(name).alias("_side"))
+             for name, shares in (("lo", low), ("hi", high))]
+    both = sides[0].unionByName(sides[1]).groupBy(*keys, "_i", "_gap").agg(
+        F.max(F.when(F.col("_side") == "lo", F.col("_v"))).alias("_lo"),
+        F.max(F.when(F.col("_side") == "hi", F.col("_v"))).alias("_hi"))
+    part = (F.col("_i") * F.col("_gap") % last) / F.lit(float(last))
+    mark = F.col("_lo") + part * (F.col("_hi") - F.col("_lo"))
+    return (both.groupBy(*keys)
+            .agg(F.array_sort(F.collect_list(F.struct("_i", mark.alias("m")))).alias("_m"))
+            .select(*keys, F.transform("_m", lambda s: s["m"]).alias("marks")))
+
+
 def blocks(df: DataFrame, index: str, keys: list = (), before: int = 0, after: int = 0,
            size: int = 100_000) -> DataFrame:
     """Cut an indexed series into blocks of ``size`` rows plus the neighbouring rows.

@@ -187,20 +187,41 @@ def best_transform(versions: dict, kpis: list) -> DataFrame:
 # ---- correlation ---------------------------------------------------------
 
 def correlation(df: DataFrame, columns: list) -> DataFrame:
-    """Pearson r for each pair of columns, null for a constant one; one pass.
+    """Pearson r for each pair of columns, null for a constant one.
 
-    Each pair uses the rows where both values are known.
+    A first pass finds means, counts and constant columns, a second sums the products of
+    centred values. If a column has nulls, each pair uses the rows where both are known.
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
+    first = df.agg(F.count(F.lit(1)).alias("n"), *[
+        f(c).alias(f"{name}{i}") for i, c in enumerate(columns)
+        for name, f in (("mean", F.avg), ("known", F.count), ("lo", F.min), ("hi", F.max))
+    ]).first()
+    place = {c: i for i, c in enumerate(columns)}
+    flat = {c for c, i in place.items() if first[f"lo{i}"] == first[f"hi{i}"]}
+    if all(first[f"known{i}"] == first["n"] for i in place.values()):
+        dev = {c: F.col(c) - F.lit(first[f"mean{i}"]) for c, i in place.items()}
+        sums = df.agg(*[F.sum(dev[c] * dev[c]).alias(f"s{i}") for c, i in place.items()],
+                      *[F.sum(dev[a] * dev[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+
+        def r(i, a, b):
+            return F.try_divide(F.col(f"p{i}"), F.sqrt(F.col(f"s{place[a]}") * F.col(f"s{place[b]}")))
+    else:
+        sums = df.agg(*[_pair_r(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+
+        def r(i, a, b):
+            return F.col(f"p{i}")
+    rows = F.array(*[
+        F.struct(F.lit(a).alias("kpi_x"), F.lit(b).alias("kpi_y"),
+                 (F.lit(None).cast("double") if {a, b} & flat else r(i, a, b)).alias("r"))
+        for i, (a, b) in enumerate(pairs)])
+    return sums.select(F.explode(rows).alias("e")).select("e.*")
+
 
-    def r(a, b):
-        x = F.when(F.col(b).isNotNull(), F.col(a))
-        y = F.when(F.col(a).isNotNull(), F.col(b))
-        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-    wide = df.agg(*[r(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.array(*[F.struct(F.lit(a).alias("kpi_x"), F.lit(b).alias("kpi_y"),
-                              F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)])
-    return wide.select(F.explode(rows).alias("e")).select("e.*")
+def _pair_r(a: str, b: str):
+    x = F.when(F.col(b).isNotNull(), F.col(a))
+    y = F.when(F.col(a).isNotNull(), F.col(b))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def strong_pairs(matrix: DataFrame, above: float = 0.7) -> DataFrame:
