@@ -19,14 +19,17 @@ def long_form(df: DataFrame, kpis: list, keep: list = ()) -> DataFrame:
 
 
 def _wide(df: DataFrame, kpis: list, measures: dict) -> DataFrame:
-    """One aggregate over all KPIs, turned into one row per KPI."""
-    aggs = [make(F.col(k)).alias(f"{name}__{i}")
-            for i, k in enumerate(kpis) for name, make in measures.items()]
-    rows = F.array(*[
-        F.struct(F.lit(k).alias("kpi"),
-                 *[F.col(f"{name}__{i}").alias(name) for name in measures])
-        for i, k in enumerate(kpis)])
-    return df.agg(*aggs).select(F.explode(rows).alias("r")).select("r.*")
+    """One aggregate over all KPIs, turned into one row per KPI.
+
+    Measures are SQL texts over ``{c}``: one call per aggregate keeps plan building short.
+    """
+    aggs = [F.expr(text.format(c=f"`{k}`")).alias(f"{name}__{i}")
+            for i, k in enumerate(kpis) for name, text in measures.items()]
+    rows = ", ".join(
+        f"named_struct('kpi', '{k}', " + ", ".join(
+            f"'{name}', `{name}__{i}`" for name in measures) + ")"
+        for i, k in enumerate(kpis))
+    return df.agg(*aggs).selectExpr(f"inline(array({rows}))")
 
 
 def describe(df: DataFrame, kpis: list, exact: bool = True) -> DataFrame:
@@ -34,12 +37,12 @@ def describe(df: DataFrame, kpis: list, exact: bool = True) -> DataFrame:
 
     ``exact=False`` takes the quartiles from a sketch in the same pass.
     """
-    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min,
-                "max": F.max}
+    measures = {"count": "count({c})", "mean": "avg({c})", "std": "stddev_samp({c})",
+                "min": "min({c})", "max": "max({c})"}
     probs, names = [0.25, 0.5, 0.75], ["q25", "q50", "q75"]
     if not exact:
         for p, name in zip(probs, names):
-            measures[name] = lambda c, p=p: F.percentile_approx(c, p, 10_000)
+            measures[name] = "percentile_approx({c}, %s, 10000)" % p
         return _wide(df, kpis, measures)
     cuts = quantiles(long_form(df, kpis), "value", probs, ["kpi"], names).drop("n")
     return _wide(df, kpis, measures).join(cuts, "kpi", "left")
@@ -48,8 +51,8 @@ def describe(df: DataFrame, kpis: list, exact: bool = True) -> DataFrame:
 def mean_difference(df: DataFrame, kpis: list, flag: str = "anomaly") -> DataFrame:
     """Mean per KPI of normal and anomalous rows and the difference in percent."""
     means = _wide(df, kpis, {
-        "normal_mean": lambda c: F.avg(F.when(F.col(flag) == 0, c)),
-        "anomaly_mean": lambda c: F.avg(F.when(F.col(flag) == 1, c))})
+        "normal_mean": "avg({c}) FILTER (WHERE `%s` = 0)" % flag,
+        "anomaly_mean": "avg({c}) FILTER (WHERE `%s` = 1)" % flag})
     gap = F.col("anomaly_mean") - F.col("normal_mean")
     return means.withColumn(
         "difference_pct", F.round(F.try_divide(gap, F.col("normal_mean")) * 100, 2))
@@ -168,7 +171,8 @@ def kruskal(df: DataFrame, kpis: list, group: str) -> DataFrame:
 
 def normality(df: DataFrame, kpis: list) -> DataFrame:
     """Jarque-Bera statistic over all rows; p = exp(-JB / 2)."""
-    shape = _wide(df, kpis, {"n": F.count, "skew": F.skewness, "excess_kurtosis": F.kurtosis})
+    shape = _wide(df, kpis, {"n": "count({c})", "skew": "skewness({c})",
+                             "excess_kurtosis": "kurtosis({c})"})
     jb = F.col("n") / 6.0 * (F.col("skew") ** 2 + F.col("excess_kurtosis") ** 2 / 4.0)
     return (shape.withColumn("jb", jb).withColumn("p_value", F.exp(-F.col("jb") / 2))
             .withColumn("normal", F.col("p_value") > 0.05))
@@ -194,34 +198,32 @@ def correlation(df: DataFrame, columns: list) -> DataFrame:
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
     first = df.agg(F.count(F.lit(1)).alias("n"), *[
-        f(c).alias(f"{name}{i}") for i, c in enumerate(columns)
-        for name, f in (("mean", F.avg), ("known", F.count), ("lo", F.min), ("hi", F.max))
-    ]).first()
+        F.expr(f"{f}(`{c}`)").alias(f"{f}{i}") for i, c in enumerate(columns)
+        for f in ("avg", "count", "min", "max")]).first()
     place = {c: i for i, c in enumerate(columns)}
-    flat = {c for c, i in place.items() if first[f"lo{i}"] == first[f"hi{i}"]}
-    if all(first[f"known{i}"] == first["n"] for i in place.values()):
-        dev = {c: F.col(c) - F.lit(first[f"mean{i}"]) for c, i in place.items()}
-        sums = df.agg(*[F.sum(dev[c] * dev[c]).alias(f"s{i}") for c, i in place.items()],
-                      *[F.sum(dev[a] * dev[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-
-        def r(i, a, b):
-            return F.try_divide(F.col(f"p{i}"), F.sqrt(F.col(f"s{place[a]}") * F.col(f"s{place[b]}")))
+    flat = {c for c, i in place.items() if first[f"min{i}"] == first[f"max{i}"]}
+    if all(first[f"count{i}"] == first["n"] for i in place.values()):
+        dev = {c: f"(`{c}` - {first[f'avg{i}']!r}D)" for c, i in place.items()}
+        sums = df.agg(*[F.expr(f"sum({dev[c]} * {dev[c]})").alias(f"s{i}")
+                        for c, i in place.items()],
+                      *[F.expr(f"sum({dev[a]} * {dev[b]})").alias(f"p{i}")
+                        for i, (a, b) in enumerate(pairs)])
+        r = "try_divide(p{i}, sqrt(s{x} * s{y}))"
     else:
         sums = df.agg(*[_pair_r(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-
-        def r(i, a, b):
-            return F.col(f"p{i}")
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("kpi_x"), F.lit(b).alias("kpi_y"),
-                 (F.lit(None).cast("double") if {a, b} & flat else r(i, a, b)).alias("r"))
-        for i, (a, b) in enumerate(pairs)])
-    return sums.select(F.explode(rows).alias("e")).select("e.*")
+        r = "p{i}"
+    rows = ", ".join(
+        f"named_struct('kpi_x', '{a}', 'kpi_y', '{b}', 'r', "
+        + ("CAST(NULL AS DOUBLE)" if {a, b} & flat
+           else r.format(i=i, x=place[a], y=place[b])) + ")"
+        for i, (a, b) in enumerate(pairs))
+    return sums.selectExpr(f"inline(array({rows}))")
 
 
 def _pair_r(a: str, b: str):
-    x = F.when(F.col(b).isNotNull(), F.col(a))
-    y = F.when(F.col(a).isNotNull(), F.col(b))
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    x = f"CASE WHEN `{b}` IS NOT NULL THEN `{a}` END"
+    y = f"CASE WHEN `{a}` IS NOT NULL THEN `{b}` END"
+    return F.expr(f"try_divide(covar_pop({x}, {y}), stddev_pop({x}) * stddev_pop({y}))")
 
 
 def strong_pairs(matrix: DataFrame, above: float = 0.7) -> DataFrame:
@@ -264,7 +266,7 @@ def histogram(df: DataFrame, column: str, bins: int, by: str = None) -> DataFram
 
 def mean_and_median(df: DataFrame, kpis: list) -> DataFrame:
     middle = quantiles(long_form(df, kpis), "value", [0.5], ["kpi"], ["median"]).drop("n")
-    return _wide(df, kpis, {"mean": F.avg}).join(middle, "kpi")
+    return _wide(df, kpis, {"mean": "avg({c})"}).join(middle, "kpi")
 
 
 def boxplot(df: DataFrame, kpis: list, by: str) -> DataFrame:
