@@ -6,8 +6,10 @@ from cellpulse.catalog.forecast_queries import FORECAST
 from cellpulse.catalog.forecast_sql import FORECAST_SQL
 from cellpulse.catalog.monitoring_queries import MONITORING
 from cellpulse.catalog.monitoring_sql import MONITORING_SQL
+from cellpulse.catalog.neighbor_queries import NEIGHBORS
+from cellpulse.catalog.neighbor_sql import NEIGHBORS_SQL
 from cellpulse.catalog.stats_queries import STATS
 from cellpulse.catalog.stats_sql import STATS_SQL
 
-QUERIES = {**MONITORING, **FORECAST, **STATS, **EVALUATION}
-ORACLES = {**MONITORING_SQL, **FORECAST_SQL, **STATS_SQL, **EVALUATION_SQL}
+QUERIES = {**MONITORING, **FORECAST, **STATS, **EVALUATION, **NEIGHBORS}
+ORACLES = {**MONITORING_SQL, **FORECAST_SQL, **STATS_SQL, **EVALUATION_SQL, **NEIGHBORS_SQL}
