@@ -9,14 +9,14 @@ from cellpulse.operators.ordering import quantile_grid, quantiles
 from cellpulse.session import small_broadcast
 
 
-def serving_features(df: DataFrame) -> DataFrame:
+def serving_features(df: DataFrame, slice_column: str = "slice_type") -> DataFrame:
     """The 16 serving features as ``f_*`` columns beside the record; nulls become 0.
 
     ``timestamp`` may be a timestamp or a text that might not parse.
     """
     parse = safe_date_parts if dict(df.dtypes)["timestamp"] == "string" else date_parts
     parts = parse(F.col("timestamp"))
-    made = {"slice_type": encode(F.col("slice_type"), schema.SLICES)}
+    made = {"slice_type": encode(F.col(slice_column), schema.SLICES)}
     made.update({p: parts[p] for p in schema.DATE_PARTS})
     return df.select("*", *[
         F.coalesce(made.get(c, F.col(c)).cast("double"), F.lit(0.0)).alias(f"f_{c}")
