@@ -221,7 +221,7 @@ def anomaly_head(scope: DataFrame) -> DataFrame:
         _rows().alias("n"))
     flagged = F.col("ml_prediction") == 1
     totals = by_cell_type.agg(
-        F.sum("n").alias("total"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
         F.coalesce(F.sum(F.col("ml_prediction") * F.col("n")), F.lit(0))
         .alias("active_anomalies"),
         F.countDistinct("cell_id").alias("affected_cells"),
