@@ -72,36 +72,34 @@ def fc_sla_worst_case(spark, sf):
 
 
 def fc_metrics(spark, sf):
-    df, out = kpi_view(spark, sf), None
-    for kpi in schema.SLA_KPIS:
-        scores = fc.forecast_metrics(fc.persistence(df, kpi), schema.FORECAST_TOLERANCE[kpi])
-        scores = scores.select(F.lit(kpi).alias("kpi"), "*")
-        out = scores if out is None else out.unionByName(scores)
-    return rounded(out)
+    scored = fc.persistence(kpi_view(spark, sf), schema.SLA_KPIS)
+    return rounded(fc.forecast_metrics(scored, fc.tolerances(), ["kpi"]))
 
 
-def _facts(spark, sf, kpi):
-    scored = materialise(fc.persistence(kpi_view(spark, sf), kpi), "scored")
-    mae = fc.forecast_metrics(scored, schema.FORECAST_TOLERANCE[kpi]).first()["mae"]
-    return fc.fact_rows(scored, kpi, mae, "persistence")
+def _facts(spark, sf, kpis):
+    """Fact rows of the persistence forecast, one frame per KPI."""
+    scored = materialise(fc.persistence(kpi_view(spark, sf), kpis), "scored")
+    errors = {r["kpi"]: r["mae"] for r in
+              fc.forecast_metrics(scored, fc.tolerances(), ["kpi"]).collect()}
+    return [fc.fact_rows(scored.where(F.col("kpi") == kpi), kpi, errors[kpi], "persistence")
+            for kpi in kpis]
 
 
 def fc_fact_rows(spark, sf):
-    return _facts(spark, sf, "throughput_dl_mbps")
+    return _facts(spark, sf, ["throughput_dl_mbps"])[0]
 
 
 def fc_samples(spark, sf):
-    scored = fc.persistence(kpi_view(spark, sf), LATENCY)
-    return rounded(fc.sample_view(scored, schema.FORECAST_TOLERANCE[LATENCY],
-                                  ["cell_id"] + ORDER))
+    scored = materialise(fc.persistence(kpi_view(spark, sf), [LATENCY]), "scored")
+    return rounded(fc.sample_view(scored, schema.FORECAST_TOLERANCE[LATENCY]))
 
 
 def fact_union(spark, sf):
     root = new_path(spark, "facts")
-    paths = [f"{root}/{kpi}" for kpi in schema.FORECAST_UNITS]
-    for kpi, path in list(zip(schema.FORECAST_UNITS, paths))[:3]:  # the fourth stays missing
-        files.write_csv(_facts(spark, sf, kpi), path, files.MICROS)
-    return files.union_facts(spark, paths, files.MICROS)
+    kpis = list(schema.FORECAST_UNITS)
+    for kpi, facts in zip(kpis, _facts(spark, sf, kpis[:3])):  # the fourth file stays missing
+        files.write_csv(facts, f"{root}/{kpi}", files.MICROS)
+    return files.union_facts(spark, [f"{root}/{kpi}" for kpi in kpis], files.MICROS)
 
 
 def fc_window_model(spark, sf):

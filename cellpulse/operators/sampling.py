@@ -8,7 +8,7 @@ are ranked, and the boundary found there is compared with every row in place.
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cellpulse.operators.ordering import row_index
-from cellpulse.session import small_broadcast
+from cellpulse.session import materialise, small_broadcast, small_table
 
 _PREFIX = 4  # hex digits: 65536 even shares of each class
 
@@ -20,13 +20,13 @@ def key_hash(key: str):
 def mark_quota(df: DataFrame, label: str, key: str, quota) -> DataFrame:
     """Add ``picked``: true for the first ``quota(n_class, n_all)`` rows of each class."""
     hashed = df.withColumn("_h", key_hash(key)).withColumn("_p", F.substring("_h", 1, _PREFIX))
-    shares = hashed.groupBy(label, "_p").agg(F.count(F.lit(1)).alias("_c"))
+    shares = materialise(hashed.groupBy(label, "_p").agg(F.count(F.lit(1)).alias("_c")), "shares")
     sizes = {r[label]: r["n"] for r in
              shares.groupBy(label).agg(F.sum("_c").alias("n")).collect()}  # one row per class
     total = sum(sizes.values())
-    wanted = df.sparkSession.createDataFrame(
-        [(c, min(n, quota(n, total))) for c, n in sizes.items()],
-        f"_label {df.schema[label].dataType.simpleString()}, _quota long")
+    wanted = small_table(
+        df.sparkSession, f"_label {df.schema[label].dataType.simpleString()}, _quota bigint",
+        [(c, min(n, quota(n, total))) for c, n in sizes.items()])
     wanted = small_broadcast(wanted, len(sizes))
     run = Window.partitionBy(label).orderBy("_p")  # at most 65536 counts per class
     cut = (shares.withColumn("_cum", F.sum("_c").over(run))
@@ -54,11 +54,19 @@ def split_stratified(df: DataFrame, label: str, key: str, train: float = 0.8) ->
 
 
 def split_chronological(df: DataFrame, order: list, train: float = 0.8) -> DataFrame:
-    """Add ``part``: the earlier share of all rows is ``train``."""
-    indexed = row_index(df, order, name="_idx")
-    cut = int(round(indexed.count() * train, 9))
-    return indexed.withColumn(
-        "part", F.when(F.col("_idx") <= cut, "train").otherwise("test")).drop("_idx")
+    """Add ``part``: the earlier share of all rows is ``train``.
+
+    Only the order columns are sorted; the rows are compared with the boundary in place.
+    """
+    spots = row_index(df.select(*order), order, name="_idx")
+    cut = int(round(spots.count() * train, 9))
+    bound = spots.where(F.col("_idx") == cut).first()
+    if bound is None:
+        return df.withColumn("part", F.lit("test"))
+    kinds = dict(df.dtypes)
+    edge = F.struct(*[F.lit(str(bound[c])).cast(kinds[c]).alias(c) for c in order])
+    return df.withColumn(
+        "part", F.when(F.struct(*order) <= edge, "train").otherwise("test"))
 
 
 def sample_stratified(df: DataFrame, label: str, key: str, cap: int) -> DataFrame:

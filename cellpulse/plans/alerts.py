@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellpulse import schema
 from cellpulse.functions.scalar import breaches, one_decimal, proximity
-from cellpulse.session import small_broadcast
+from cellpulse.session import small_broadcast, small_table
 
 
 def thresholds_table(spark: SparkSession, thresholds: dict = None) -> DataFrame:
@@ -13,8 +13,9 @@ def thresholds_table(spark: SparkSession, thresholds: dict = None) -> DataFrame:
              schema.SLA_ACTIONS.get(kpi, "Investigate"))
             for s, kpis in (thresholds or schema.SLA_THRESHOLDS).items()
             for kpi, t in kpis.items()]
-    table = spark.createDataFrame(
-        rows, "slice_type string, kpi string, threshold double, bad_side string, action string")
+    table = small_table(
+        spark, "slice_type string, kpi string, threshold double, bad_side string, action string",
+        rows)
     return small_broadcast(table, len(rows))
 
 

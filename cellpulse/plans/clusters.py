@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from cellpulse.plans.evaluation import silhouette
-from cellpulse.session import small_broadcast
+from cellpulse.session import small_broadcast, small_table
 
 
 def kmeans(df: DataFrame, k: int = 9, seed: int = 42, **params):
@@ -20,7 +20,7 @@ def elbow(df: DataFrame, ks=range(2, 11), seed: int = 42) -> DataFrame:
     for k in ks:
         model = kmeans(df, k, seed)
         rows.append((k, model.summary.trainingCost, silhouette(model.transform(df), "cluster")))
-    return df.sparkSession.createDataFrame(rows, "k int, cost double, silhouette double")
+    return small_table(df.sparkSession, "k int, cost double, silhouette double", rows)
 
 
 def gaussian_mixture(df: DataFrame, k: int = 9, seed: int = 42, max_iter: int = 100):
@@ -33,10 +33,10 @@ def gaussian_mixture(df: DataFrame, k: int = 9, seed: int = 42, max_iter: int =
     free = (k - 1) + k * d + k * d * (d + 1) // 2  # weights, means, full covariances
     likelihood = model.summary.logLikelihood
     sure = scored.agg(F.avg(F.array_max(vector_to_array("probability")))).first()[0]
-    table = df.sparkSession.createDataFrame(
-        [(k, float(likelihood), free * math.log(n) - 2 * likelihood, 2 * free - 2 * likelihood,
-          sure)],
-        "k int, log_likelihood double, bic double, aic double, mean_confidence double")
+    table = small_table(
+        df.sparkSession,
+        "k int, log_likelihood double, bic double, aic double, mean_confidence double",
+        [(k, likelihood, free * math.log(n) - 2 * likelihood, 2 * free - 2 * likelihood, sure)])
     return model, table
 
 
@@ -88,6 +88,6 @@ def map_clusters(df: DataFrame, cluster: str, truth: str) -> DataFrame:
     for r in counts:
         gain[found.index(r[cluster])][classes.index(r[truth])] = r["n"]
     pairs = [(int(found[i]), int(classes[j])) for i, j in best_assignment(gain).items()]
-    table = df.sparkSession.createDataFrame(pairs, "_cluster int, mapped int")
+    table = small_table(df.sparkSession, "_cluster int, mapped int", pairs)
     return (df.join(small_broadcast(table, len(pairs)), F.col(cluster) == F.col("_cluster"), "left")
             .drop("_cluster").na.fill(-1, ["mapped"]))

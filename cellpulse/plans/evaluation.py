@@ -198,7 +198,7 @@ def davies_bouldin(df: DataFrame, cluster: str, vec: str) -> DataFrame:
     k = means.count()
     off = F.sqrt(F.aggregate(F.zip_with("x", "m", lambda a, b: (a - b) * (a - b)), F.lit(0.0),
                              lambda s, v: s + v))
-    spread = (rows.join(small_broadcast(means, k), "c").groupBy("c")
+    spread = (rows.join(small_broadcast(means, k, 1_000), "c").groupBy("c")
               .agg(F.avg(off).alias("s"), F.first("m").alias("m")))
     # Coordinates meet on their index: clusters squared times dimensions, not rows.
     flat = spread.select("c", "s", F.posexplode("m").alias("d", "v"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from cellpulse import schema
 from cellpulse.functions.scalar import date_parts, encode, safe_date_parts
 from cellpulse.operators.ordering import quantile_grid, quantiles
-from cellpulse.session import small_broadcast
+from cellpulse.session import small_broadcast, small_table
 
 
 def serving_features(df: DataFrame, slice_column: str = "slice_type") -> DataFrame:
@@ -167,9 +167,10 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
     rows = sizes.collect()  # one row per class
     total, k = sum(r["n_class"] for r in rows), len(rows)
-    return df.sparkSession.createDataFrame(
-        [(r[label], r["n_class"], total / (k * r["n_class"])) for r in rows],
-        f"{label} {df.schema[label].dataType.simpleString()}, n_class long, weight double")
+    return small_table(
+        df.sparkSession,
+        f"{label} {df.schema[label].dataType.simpleString()}, n_class bigint, weight double",
+        [(r[label], r["n_class"], total / (k * r["n_class"])) for r in rows])
 
 
 def with_class_weight(df: DataFrame, label: str) -> DataFrame:

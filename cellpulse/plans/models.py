@@ -12,11 +12,12 @@ from pyspark.ml.evaluation import (
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellpulse.operators import sampling
 from cellpulse.plans import evaluation as ev
 from cellpulse.plans.features import assemble, with_class_weight
+from cellpulse.session import small_table
 
 
 BINS = 128  # candidate cuts per feature; the default of 32 misses rare classes
@@ -105,14 +106,14 @@ def summary_scores(scored: DataFrame, label: str) -> DataFrame:
 
 def importances(model: PipelineModel, inputs: list, n: int = None) -> DataFrame:
     """Features by importance with their rank; ``n`` keeps the first ones (one row per feature)."""
-    from pyspark.sql import SparkSession
     fitted = model.stages[-1]
     pairs = sorted(zip(inputs, fitted.featureImportances.toArray().tolist()),
                    key=lambda p: (-p[1], p[0]))
     rows = [(name, value, i + 1, value > 0.05, value < 0.001)
             for i, (name, value) in enumerate(pairs)]
-    return SparkSession.active().createDataFrame(
-        rows[:n], "feature string, importance double, rank int, strong boolean, negligible boolean")
+    return small_table(
+        SparkSession.active(),
+        "feature string, importance double, rank int, strong boolean, negligible boolean", rows[:n])
 
 
 def save(model: PipelineModel, path: str):
@@ -152,8 +153,9 @@ def cross_validate(df: DataFrame, pipeline: Pipeline, maps: list, label: str, ke
     best = max(found.avgMetrics) if judge.isLargerBetter() else min(found.avgMetrics)
     rows = [(name, metric, float(mean), float(std), bool(mean == best))
             for name, mean, std in zip(names, found.avgMetrics, found.stdMetrics)]
-    table = df.sparkSession.createDataFrame(
-        rows, "candidate string, metric string, mean double, std double, best boolean")
+    table = small_table(
+        df.sparkSession, "candidate string, metric string, mean double, std double, best boolean",
+        rows)
     return table, found.bestModel
 
 

@@ -27,7 +27,8 @@ def page(df: DataFrame, newest: list, limit: int, offset: int = 0,
     total = df.count()
     oldest_first = row_index(df, newest, name="_idx")
     back = F.lit(total) - F.col("_idx")
-    return oldest_first.where((back >= offset) & (back < offset + limit)).drop("_idx")
+    wanted = oldest_first.where((back >= offset) & (back < offset + limit)).drop("_idx")
+    return wanted.orderBy(*[F.desc(c) for c in newest])
 
 
 def _equal(df: DataFrame, **wanted) -> DataFrame:
@@ -334,8 +335,11 @@ def profile(df: DataFrame) -> DataFrame:
     slices = per_cell.groupBy("slice_type").agg(_rows().alias("n")).select(
         F.lit("cells_per_slice").alias("section"), F.col("slice_type").alias("item"), "n",
         F.lit(None).cast("double").alias("percent"))
-    ids = df.agg(F.countDistinct("cell_id").alias("cells"), F.countDistinct("ue_id").alias("ues"),
-                 F.min("timestamp").alias("a"), F.max("timestamp").alias("b"))
+    pairs = df.groupBy("cell_id", "ue_id").agg(F.min("timestamp").alias("a"),
+                                               F.max("timestamp").alias("b"))
+    ids = pairs.agg(F.countDistinct("cell_id").alias("cells"),
+                    F.countDistinct("ue_id").alias("ues"),
+                    F.min("a").alias("a"), F.max("b").alias("b"))
     none = F.lit(None).cast("long")
     facts = [("distinct", F.lit("cells"), F.col("cells")),
              ("distinct", F.lit("ues"), F.col("ues")),

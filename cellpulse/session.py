@@ -39,6 +39,29 @@ def small_broadcast(df: DataFrame, rows: int, bound: int = 10_000) -> DataFrame:
     return F.broadcast(df) if rows <= bound else df
 
 
+def _literal(value, kind: str) -> str:
+    if value is None:
+        return f"CAST(NULL AS {kind})"
+    if kind == "string":
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if kind == "double":
+        return f"CAST('{float(value)!r}' AS DOUBLE)"
+    return f"CAST({value} AS {kind})"
+
+
+def small_table(spark: SparkSession, columns: str, rows: list) -> DataFrame:
+    """Result- or configuration-sized table as an inline relation, whose size Spark knows.
+
+    ``columns`` is a DDL list of simple types.
+    """
+    names, kinds = zip(*[c.split() for c in columns.split(",")])
+    if not rows:
+        return spark.createDataFrame([], columns)
+    body = ", ".join(
+        "(" + ", ".join(_literal(v, k) for v, k in zip(row, kinds)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column, so that sums in another order compare equal."""
     return df.select([

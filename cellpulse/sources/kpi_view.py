@@ -1,58 +1,61 @@
 """KPI records derived from the generic ``events`` table."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from cellpulse import schema
 
 
-def _type_when(flag: Column, k: Column) -> Column:
-    names = F.array(*[F.lit(name) for name in schema.ANOMALY_TYPES])
-    return F.when(flag, F.element_at(names, (k % 8 + 1).cast("int"))).otherwise(schema.NORMAL)
+def _type_when(flag: str) -> str:
+    names = ", ".join(f"'{name}'" for name in schema.ANOMALY_TYPES)
+    return f"CASE WHEN {flag} THEN element_at(array({names}), k % 8 + 1) ELSE '{schema.NORMAL}' END"
+
+
+_SLICE_NAMES = ", ".join(f"'{s}'" for s in schema.SLICES)
+
+_INPUTS = [
+    "event_id", "CAST(ts AS TIMESTAMP_NTZ) AS ts", "user_id", "value AS v",
+    "CAST(get_json_object(props, '$.k') AS INT) AS k", "CAST(user_id % 20 AS INT) AS c",
+]
+
+_COLUMNS = [
+    "event_id AS id",
+    "ts AS timestamp",
+    "concat('gNB-', lpad(CAST(c + 1 AS STRING), 3, '0')) AS cell_id",
+    "concat('UE-', CAST(user_id AS STRING)) AS ue_id",
+    f"element_at(array({_SLICE_NAMES}), c % 3 + 1) AS slice_type",
+    "33.5D + c * 0.03D AS latitude",
+    "-7.7D + c * 0.015D AS longitude",
+    "v / 10.0D + 0.0003D AS one_way_latency_ms",
+    "k / 20.0D AS jitter_ms",
+    "v / 5.0D + k / 10.0D AS rtt_ms",
+    "50.0D + k / 2.0D AS packet_delay_budget_ms",
+    "5.0D + k * 0.45D AS handover_interruption_time_ms",
+    "100.0D - k / 100.0D AS reliability_percent",
+    "v / 100.0D AS packet_loss_percent",
+    "v / 100.0D AS packet_loss_rate_percent",
+    "k / 10.0D AS bler_percent",
+    "1000.0D / (1.0D + v / 10.0D) + 0.0003D AS throughput_dl_mbps",
+    "500.0D / (1.0D + v / 10.0D) AS throughput_ul_mbps",
+    "30.0D / (1.0D + v / 100.0D) AS spectral_efficiency_bps_hz",
+    "99.9999993D - (k / 100.0D) * (v / 50.0D) AS handover_success_rate_percent",
+    "1e6D * (1 + k) AS energy_efficiency_bits_per_joule",
+    "CAST(v > 150 AS INT) AS anomaly",
+    _type_when("v > 150") + " AS anomaly_type",
+    "CAST(v > 140 AS INT) AS ml_prediction",
+    "0.5D + least(abs(v - 140.0D) / 1000.0D, 0.5D) AS ml_confidence",
+    f"CASE WHEN v > 140 THEN 'anomaly' ELSE '{schema.NORMAL}' END AS ml_anomaly_label",
+    _type_when("v > 140") + " AS ml_anomaly_type",
+    "0.5D + k / 200.0D AS ml_anomaly_type_confidence",
+    "CAST(v > 150 AS INT) AS actual_anomaly",
+    _type_when("v > 150") + " AS actual_anomaly_type",
+    "ts AS ingested_at",
+]
 
 
 def kpi_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw, scored and ground-truth columns, one row per event, lazily."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        F.col("event_id"), F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("user_id"),
-        F.col("value").alias("v"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        (F.col("user_id") % 20).cast("int").alias("c"))
-    v, k, c = F.col("v"), F.col("k"), F.col("c")
-    is_anomaly, is_flagged = v > 150, v > 140
-    slices = F.array(*[F.lit(s) for s in schema.SLICES])
-    return e.select(
-        F.col("event_id").alias("id"),
-        F.col("ts").alias("timestamp"),
-        F.concat(F.lit("gNB-"), F.lpad((c + 1).cast("string"), 3, "0")).alias("cell_id"),
-        F.concat(F.lit("UE-"), F.col("user_id").cast("string")).alias("ue_id"),
-        F.element_at(slices, (c % 3 + 1).cast("int")).alias("slice_type"),
-        (F.lit(33.5) + c * 0.03).alias("latitude"),
-        (F.lit(-7.7) + c * 0.015).alias("longitude"),
-        (v / 10.0 + 0.0003).alias("one_way_latency_ms"),
-        (k / F.lit(20.0)).alias("jitter_ms"),
-        (v / 5.0 + k / F.lit(10.0)).alias("rtt_ms"),
-        (F.lit(50.0) + k / F.lit(2.0)).alias("packet_delay_budget_ms"),
-        (F.lit(5.0) + k * 0.45).alias("handover_interruption_time_ms"),
-        (F.lit(100.0) - k / F.lit(100.0)).alias("reliability_percent"),
-        (v / 100.0).alias("packet_loss_percent"),
-        (v / 100.0).alias("packet_loss_rate_percent"),
-        (k / F.lit(10.0)).alias("bler_percent"),
-        (F.lit(1000.0) / (F.lit(1.0) + v / 10.0) + 0.0003).alias("throughput_dl_mbps"),
-        (F.lit(500.0) / (F.lit(1.0) + v / 10.0)).alias("throughput_ul_mbps"),
-        (F.lit(30.0) / (F.lit(1.0) + v / 100.0)).alias("spectral_efficiency_bps_hz"),
-        (F.lit(99.9999993) - (k / F.lit(100.0)) * (v / 50.0))
-        .alias("handover_success_rate_percent"),
-        (F.lit(1e6) * (F.lit(1) + k)).alias("energy_efficiency_bits_per_joule"),
-        is_anomaly.cast("int").alias("anomaly"),
-        _type_when(is_anomaly, k).alias("anomaly_type"),
-        is_flagged.cast("int").alias("ml_prediction"),
-        (F.lit(0.5) + F.least(F.abs(v - 140.0) / 1000.0, F.lit(0.5))).alias("ml_confidence"),
-        F.when(is_flagged, "anomaly").otherwise(schema.NORMAL).alias("ml_anomaly_label"),
-        _type_when(is_flagged, k).alias("ml_anomaly_type"),
-        (F.lit(0.5) + k / F.lit(200.0)).alias("ml_anomaly_type_confidence"),
-        is_anomaly.cast("int").alias("actual_anomaly"),
-        _type_when(is_anomaly, k).alias("actual_anomaly_type"),
-        F.col("ts").alias("ingested_at"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.selectExpr(*_INPUTS).selectExpr(*_COLUMNS)
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
