@@ -146,8 +146,12 @@ def recent(df: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
 
 
 def network_health(df: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
-    per_cell = recent(df, as_of, hours).groupBy("cell_id").agg(
-        _rows().alias("total"), F.sum("actual_anomaly").alias("anomaly_count"),
+    # Counting per device and type first keeps the pass over the rows a hash aggregate and a
+    # busy cell spread out; the text maximum then runs over the few groups only.
+    groups = recent(df, as_of, hours).groupBy("cell_id", "ue_id", "actual_anomaly_type").agg(
+        _rows().alias("n"), F.sum("actual_anomaly").alias("a"))
+    per_cell = groups.groupBy("cell_id").agg(
+        F.sum("n").alias("total"), F.sum("a").alias("anomaly_count"),
         F.max("actual_anomaly_type").alias("dominant_anomaly_type"),
         F.countDistinct("ue_id").alias("ue_count"))
     rate = _rate("anomaly_count")
@@ -330,8 +334,9 @@ def profile(df: DataFrame) -> DataFrame:
     types = value_counts_of(by_type.where("anomaly = 1"), "anomaly_type", "n").select(
         F.lit("anomaly_type").alias("section"), F.col("anomaly_type").alias("item"), "n",
         "percent")
-    per_cell = df.groupBy("cell_id").agg(
-        F.min_by("slice_type", F.struct("timestamp", "ue_id")).alias("slice_type"))
+    per_cell = (df.groupBy("cell_id", "slice_type").agg(F.min("timestamp").alias("t"))
+                .groupBy("cell_id").agg(
+                    F.min_by("slice_type", F.struct("t", "slice_type")).alias("slice_type")))
     slices = per_cell.groupBy("slice_type").agg(_rows().alias("n")).select(
         F.lit("cells_per_slice").alias("section"), F.col("slice_type").alias("item"), "n",
         F.lit(None).cast("double").alias("percent"))
