@@ -18,7 +18,24 @@ _LOF = (_GRAPH.format(k=20) + ", kd AS (SELECT id, max(distance) AS kd FROM g GR
         "lof AS (SELECT g.id, avg(o.d) / max(dens.d) AS lof FROM g JOIN dens o ON g.n_id = o.id "
         "JOIN dens ON dens.id = g.id GROUP BY g.id)")
 
+_DENSE = (
+    "d AS (SELECT a.id, b.id AS n, list_distance(a.x, b.x) AS dist FROM p a, p b), "
+    "e AS (SELECT quantile_cont(dist, 0.9) AS eps FROM (SELECT dist, row_number() OVER "
+    "(PARTITION BY id ORDER BY dist, n) AS rk FROM d) WHERE rk = 5), "
+    "near AS (SELECT id, n FROM d, e WHERE dist <= eps), "
+    "core AS (SELECT id FROM near GROUP BY id HAVING count(*) >= 10), "
+    "links AS (SELECT id, n FROM near WHERE id IN (FROM core) AND n IN (FROM core)), "
+    "reach(id, root) AS (SELECT id, id FROM core UNION SELECT links.n, reach.root FROM reach "
+    "JOIN links ON links.id = reach.id), "
+    "lab AS (SELECT id, min(root) AS cluster FROM reach GROUP BY id), "
+    "edge AS (SELECT near.id, min(lab.cluster) AS cluster FROM near JOIN lab ON near.n = lab.id "
+    "WHERE near.id NOT IN (FROM core) GROUP BY near.id)")
+
 NEIGHBORS_SQL = {
+    "ml_dbscan":
+        f"WITH RECURSIVE {_P}, {_DENSE} SELECT p.id, coalesce(lab.cluster, edge.cluster, -1) AS "
+        "cluster, lab.id IS NOT NULL AS core FROM p LEFT JOIN lab ON p.id = lab.id "
+        "LEFT JOIN edge ON p.id = edge.id",
     "ml_knn_graph": f"WITH {_P}, {_GRAPH.format(k=5)} SELECT id, n_id, {r('distance')}, rank FROM g",
     "ml_knn_manhattan":
         f"WITH {_P}, flat AS (SELECT id, unnest(x) AS v, unnest(range(len(x))) AS d FROM p), "

@@ -15,7 +15,7 @@ def _raw(spark, sf):
 
 
 def stat_describe(spark, sf):
-    return rounded(st.describe(_raw(spark, sf), mo.kpi_columns(_raw(spark, sf))), 4)
+    return rounded(st.describe(_raw(spark, sf), mo.kpi_columns(_raw(spark, sf))), 9, mean=4, std=4)
 
 
 def stat_mean_diff(spark, sf):
@@ -80,11 +80,11 @@ def stat_histogram_by_class(spark, sf):
 
 
 def stat_mean_median(spark, sf):
-    return rounded(st.mean_and_median(_raw(spark, sf), schema.KPIS), 4)
+    return rounded(st.mean_and_median(_raw(spark, sf), schema.KPIS), 4, median=9)
 
 
 def stat_boxplot(spark, sf):
-    return rounded(st.boxplot(_raw(spark, sf), schema.KPIS, "anomaly"), 5)
+    return rounded(st.boxplot(_raw(spark, sf), schema.KPIS, "anomaly"), 9)
 
 
 def stat_percentile_cut(spark, sf):

@@ -39,9 +39,9 @@ def _chi2(name: str, a: str, b: str, where: str = "") -> str:
 STATS_SQL = {
     "stat_describe": with_kpi(
         "SELECT kpi, count(v) AS count, round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS std, "
-        "round(min(v), 4) AS min, round(quantile_cont(v, 0.25), 4) AS q25, "
-        "round(quantile_cont(v, 0.5), 4) AS q50, round(quantile_cont(v, 0.75), 4) AS q75, "
-        "round(max(v), 4) AS max FROM long GROUP BY kpi", _LONG),
+        "round(min(v), 9) AS min, round(quantile_cont(v, 0.25), 9) AS q25, "
+        "round(quantile_cont(v, 0.5), 9) AS q50, round(quantile_cont(v, 0.75), 9) AS q75, "
+        "round(max(v), 9) AS max FROM long GROUP BY kpi", _LONG),
     "stat_mean_diff": with_kpi(
         f"SELECT kpi, {r('normal_mean', 'anomaly_mean', digits=4)}, difference_pct FROM diff2",
         _LONG, _DIFF),
@@ -101,13 +101,13 @@ STATS_SQL = {
         "(SELECT unnest(generate_series(1, 30)) AS bin), (SELECT min(throughput_dl_mbps) AS lo, "
         "max(throughput_dl_mbps) AS hi FROM kpi))"),
     "stat_mean_median": with_kpi(
-        "SELECT kpi, round(avg(v), 4) AS mean, round(quantile_cont(v, 0.5), 4) AS median "
+        "SELECT kpi, round(avg(v), 4) AS mean, round(quantile_cont(v, 0.5), 9) AS median "
         "FROM long GROUP BY kpi", _LONG),
     "stat_boxplot": with_kpi(
-        "SELECT kpi, anomaly, n, round(q1, 5) AS q1, round(md, 5) AS median, round(q3, 5) AS q3, "
-        "round(min(v) FILTER (v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 5) "
+        "SELECT kpi, anomaly, n, round(q1, 9) AS q1, round(md, 9) AS median, round(q3, 9) AS q3, "
+        "round(min(v) FILTER (v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 9) "
         "AS whisker_low, round(max(v) FILTER (v BETWEEN q1 - 1.5 * (q3 - q1) AND "
-        "q3 + 1.5 * (q3 - q1)), 5) AS whisker_high, count(*) FILTER (NOT (v BETWEEN "
+        "q3 + 1.5 * (q3 - q1)), 9) AS whisker_high, count(*) FILTER (NOT (v BETWEEN "
         "q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))) AS outliers FROM long JOIN "
         "(SELECT kpi, anomaly, count(*) AS n, quantile_cont(v, 0.25) AS q1, "
         "quantile_cont(v, 0.5) AS md, quantile_cont(v, 0.75) AS q3 FROM long "

@@ -62,8 +62,11 @@ def small_table(spark: SparkSession, columns: str, rows: list) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column, so that sums in another order compare equal."""
+def rounded(df: DataFrame, digits: int = 6, **other) -> DataFrame:
+    """Round every double column, so that sums in another order compare equal.
+
+    ``other`` gives digits for single columns, such as quantiles that may end in a 5.
+    """
     return df.select([
-        F.round(F.col(name), digits).alias(name) if kind == "double" else F.col(name)
-        for name, kind in df.dtypes])
+        F.round(F.col(name), other.get(name, digits)).alias(name) if kind == "double"
+        else F.col(name) for name, kind in df.dtypes])
