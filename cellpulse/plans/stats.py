@@ -1,16 +1,17 @@
 """Descriptive statistics, tests and distributions over KPI columns.
 
-Plain moments come from one wide aggregate, so the table is read once and nothing is
-unpivoted. Orders, ranks and exact quantiles count equal values first and then work on
-ordered distinct values.
+Plain moments are one map-side reduction to a row per KPI. Orders, ranks and exact
+quantiles count equal values first and then work on ordered distinct values.
 """
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cellpulse.functions.tails import chi2_tail, normal_two_sided
 from cellpulse.operators.ordering import quantiles, running_totals
+from cellpulse.session import small_table
 
 
 def long_form(df: DataFrame, kpis: list, keep: list = ()) -> DataFrame:
@@ -18,18 +19,15 @@ def long_form(df: DataFrame, kpis: list, keep: list = ()) -> DataFrame:
     return df.select(*keep, *kpis).unpivot(keep, kpis, "kpi", "value")
 
 
-def _wide(df: DataFrame, kpis: list, measures: dict) -> DataFrame:
-    """One aggregate over all KPIs, turned into one row per KPI.
+def _per_kpi(df: DataFrame, kpis: list, measures: dict, keep: list = ()) -> DataFrame:
+    """One row per KPI with the measures, given as SQL texts over ``value``.
 
-    Measures are SQL texts over ``{c}``: one call per aggregate keeps plan building short.
+    Rows are unpivoted inside the scan stage and reduced map-side to one row per KPI. One
+    aggregate with all KPIs side by side would need no unpivoting, but its generated code
+    grows too long to be compiled and ran two to six times slower.
     """
-    aggs = [F.expr(text.format(c=f"`{k}`")).alias(f"{name}__{i}")
-            for i, k in enumerate(kpis) for name, text in measures.items()]
-    rows = ", ".join(
-        f"named_struct('kpi', '{k}', " + ", ".join(
-            f"'{name}', `{name}__{i}`" for name in measures) + ")"
-        for i, k in enumerate(kpis))
-    return df.agg(*aggs).selectExpr(f"inline(array({rows}))")
+    return long_form(df, kpis, keep).groupBy("kpi").agg(
+        *[F.expr(text).alias(name) for name, text in measures.items()])
 
 
 def describe(df: DataFrame, kpis: list, exact: bool = True) -> DataFrame:
@@ -37,22 +35,22 @@ def describe(df: DataFrame, kpis: list, exact: bool = True) -> DataFrame:
 
     ``exact=False`` takes the quartiles from a sketch in the same pass.
     """
-    measures = {"count": "count({c})", "mean": "avg({c})", "std": "stddev_samp({c})",
-                "min": "min({c})", "max": "max({c})"}
+    measures = {"count": "count(value)", "mean": "avg(value)", "std": "stddev_samp(value)",
+                "min": "min(value)", "max": "max(value)"}
     probs, names = [0.25, 0.5, 0.75], ["q25", "q50", "q75"]
     if not exact:
         for p, name in zip(probs, names):
-            measures[name] = "percentile_approx({c}, %s, 10000)" % p
-        return _wide(df, kpis, measures)
+            measures[name] = f"percentile_approx(value, {p}, 10000)"
+        return _per_kpi(df, kpis, measures)
     cuts = quantiles(long_form(df, kpis), "value", probs, ["kpi"], names).drop("n")
-    return _wide(df, kpis, measures).join(cuts, "kpi", "left")
+    return _per_kpi(df, kpis, measures).join(cuts, "kpi", "left")
 
 
 def mean_difference(df: DataFrame, kpis: list, flag: str = "anomaly") -> DataFrame:
     """Mean per KPI of normal and anomalous rows and the difference in percent."""
-    means = _wide(df, kpis, {
-        "normal_mean": "avg({c}) FILTER (WHERE `%s` = 0)" % flag,
-        "anomaly_mean": "avg({c}) FILTER (WHERE `%s` = 1)" % flag})
+    means = _per_kpi(df, kpis, {
+        "normal_mean": f"avg(value) FILTER (WHERE `{flag}` = 0)",
+        "anomaly_mean": f"avg(value) FILTER (WHERE `{flag}` = 1)"}, [flag])
     gap = F.col("anomaly_mean") - F.col("normal_mean")
     return means.withColumn(
         "difference_pct", F.round(F.try_divide(gap, F.col("normal_mean")) * 100, 2))
@@ -171,8 +169,8 @@ def kruskal(df: DataFrame, kpis: list, group: str) -> DataFrame:
 
 def normality(df: DataFrame, kpis: list) -> DataFrame:
     """Jarque-Bera statistic over all rows; p = exp(-JB / 2)."""
-    shape = _wide(df, kpis, {"n": "count({c})", "skew": "skewness({c})",
-                             "excess_kurtosis": "kurtosis({c})"})
+    shape = _per_kpi(df, kpis, {"n": "count(value)", "skew": "skewness(value)",
+                             "excess_kurtosis": "kurtosis(value)"})
     jb = F.col("n") / 6.0 * (F.col("skew") ** 2 + F.col("excess_kurtosis") ** 2 / 4.0)
     return (shape.withColumn("jb", jb).withColumn("p_value", F.exp(-F.col("jb") / 2))
             .withColumn("normal", F.col("p_value") > 0.05))
@@ -193,37 +191,40 @@ def best_transform(versions: dict, kpis: list) -> DataFrame:
 def correlation(df: DataFrame, columns: list) -> DataFrame:
     """Pearson r for each pair of columns, null for a constant one.
 
-    A first pass finds means, counts and constant columns, a second sums the products of
-    centred values. If a column has nulls, each pair uses the rows where both are known.
+    A first pass finds means, counts and constant columns. In the second, each row meets its
+    own values: one group per column sums the products with all columns. If a column has
+    nulls, each pair uses the rows where both are known.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    first = df.agg(F.count(F.lit(1)).alias("n"), *[
-        F.expr(f"{f}(`{c}`)").alias(f"{f}{i}") for i, c in enumerate(columns)
-        for f in ("avg", "count", "min", "max")]).first()
-    place = {c: i for i, c in enumerate(columns)}
-    flat = {c for c, i in place.items() if first[f"min{i}"] == first[f"max{i}"]}
-    if all(first[f"count{i}"] == first["n"] for i in place.values()):
-        dev = {c: f"(`{c}` - {first[f'avg{i}']!r}D)" for c, i in place.items()}
-        sums = df.agg(*[F.expr(f"sum({dev[c]} * {dev[c]})").alias(f"s{i}")
-                        for c, i in place.items()],
-                      *[F.expr(f"sum({dev[a]} * {dev[b]})").alias(f"p{i}")
-                        for i, (a, b) in enumerate(pairs)])
-        r = "try_divide(p{i}, sqrt(s{x} * s{y}))"
+    columns = list(columns)
+    first = {r["kpi"]: r for r in _per_kpi(df, columns, {
+        "rows": "count(1)", "known": "count(value)", "mean": "avg(value)", "lo": "min(value)",
+        "hi": "max(value)"}).collect()}
+    flat = {c for c in columns if c not in first or first[c]["lo"] == first[c]["hi"]}
+    live = [c for c in columns if c not in flat]
+    whole = all(first[c]["known"] == first[c]["rows"] for c in live)
+    rows = df.select(*[(F.col(c) - F.lit(first[c]["mean"])).alias(c) for c in live])
+    if whole:
+        text = "sum(value * `{y}`)"
     else:
-        sums = df.agg(*[_pair_r(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-        r = "p{i}"
-    rows = ", ".join(
-        f"named_struct('kpi_x', '{a}', 'kpi_y', '{b}', 'r', "
-        + ("CAST(NULL AS DOUBLE)" if {a, b} & flat
-           else r.format(i=i, x=place[a], y=place[b])) + ")"
-        for i, (a, b) in enumerate(pairs))
-    return sums.selectExpr(f"inline(array({rows}))")
-
-
-def _pair_r(a: str, b: str):
-    x = f"CASE WHEN `{b}` IS NOT NULL THEN `{a}` END"
-    y = f"CASE WHEN `{a}` IS NOT NULL THEN `{b}` END"
-    return F.expr(f"try_divide(covar_pop({x}, {y}), stddev_pop({x}) * stddev_pop({y}))")
+        text = ("try_divide(covar_pop(value, `{y}`), "
+                "stddev_pop(CASE WHEN `{y}` IS NOT NULL THEN value END) * "
+                "stddev_pop(CASE WHEN value IS NOT NULL THEN `{y}` END))")
+    found = {}
+    if live:
+        sums = (rows.unpivot(live, live, "kpi", "value").groupBy("kpi")
+                .agg(*[F.expr(text.format(y=c)).alias(f"p{i}") for i, c in enumerate(live)]))
+        for r in sums.collect():  # columns squared numbers
+            for i, c in enumerate(live):
+                found[r["kpi"], c] = r[f"p{i}"]
+
+    def r(a, b):
+        value = found.get((a, b))
+        if value is None or not whole:
+            return value
+        spread = math.sqrt(found[a, a] * found[b, b])
+        return value / spread if spread else None
+    return small_table(df.sparkSession, "kpi_x string, kpi_y string, r double",
+                       [(a, b, r(a, b)) for i, a in enumerate(columns) for b in columns[i + 1:]])
 
 
 def strong_pairs(matrix: DataFrame, above: float = 0.7) -> DataFrame:
@@ -266,7 +267,7 @@ def histogram(df: DataFrame, column: str, bins: int, by: str = None) -> DataFram
 
 def mean_and_median(df: DataFrame, kpis: list) -> DataFrame:
     middle = quantiles(long_form(df, kpis), "value", [0.5], ["kpi"], ["median"]).drop("n")
-    return _wide(df, kpis, {"mean": "avg({c})"}).join(middle, "kpi")
+    return _per_kpi(df, kpis, {"mean": "avg(value)"}).join(middle, "kpi")
 
 
 def boxplot(df: DataFrame, kpis: list, by: str) -> DataFrame:
