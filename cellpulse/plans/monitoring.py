@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cellpulse import schema
 from cellpulse.functions.scalar import hour_bucket, hour_label, hours_before, meets
-from cellpulse.operators.ordering import row_index
+from cellpulse.operators.ordering import rows_between
 
 TOP_K_ROWS = 100_000  # up to here a page is taken as a per-task top-k
 
@@ -25,9 +25,7 @@ def page(df: DataFrame, newest: list, limit: int, offset: int = 0,
     if offset + limit <= top_k_rows:
         return df.orderBy(*[F.desc(c) for c in newest]).offset(offset).limit(limit)
     total = df.count()
-    oldest_first = row_index(df, newest, name="_idx")
-    back = F.lit(total) - F.col("_idx")
-    wanted = oldest_first.where((back >= offset) & (back < offset + limit)).drop("_idx")
+    wanted = rows_between(df, newest, max(1, total - offset - limit + 1), total - offset)
     return wanted.orderBy(*[F.desc(c) for c in newest])
 
 

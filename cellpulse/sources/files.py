@@ -1,10 +1,10 @@
 """CSV files, row batches and fact files."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from cellpulse import schema
-from cellpulse.operators.ordering import row_index
+from cellpulse.operators.ordering import rows_between
 
 SECONDS = "yyyy-MM-dd HH:mm:ss"
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -34,9 +34,7 @@ def row_batch(df: DataFrame, batch_number: int, batch_size: int, order: list) ->
     total = df.count()
     if batch_number < 1 or start >= total:
         raise ValueError(f"batch {batch_number} is out of range: {total} rows")
-    return (row_index(df, order, name="_idx")
-            .where((F.col("_idx") > start) & (F.col("_idx") <= start + batch_size))
-            .drop("_idx"))
+    return rows_between(df, order, start + 1, start + batch_size)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
