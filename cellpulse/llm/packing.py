@@ -16,6 +16,7 @@ text become their ids, as the tokenizer does by default.
 """
 
 import bisect
+from array import array
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -23,7 +24,8 @@ from cellpulse.session import materialise
 
 SEQUENCE = 4096
 END_ID = 1
-CACHED_WORDS = 400_000   # memory bound of a worker's word cache; emptied when full
+CACHED_WORDS = 1_000_000  # memory bound of a worker's word cache
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _PIECES = ("doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, "
            "part int, local bigint")
 
@@ -37,7 +39,8 @@ class WordEncoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 
     The tokenizer never joins characters across a space or line feed, so each stretch between
-    them is encoded once and kept while it fits into the cache.
+    them is encoded once and kept while there is room. It lower-cases by itself; doing that for
+    A-Z first lets more stretches agree, except in texts that may hold special tokens.
     """
 
     def __init__(self, path: str):
@@ -46,20 +49,31 @@ class WordEncoder:
         self.known = {}
 
     def encode(self, texts: list) -> list:
-        import numpy as np
-        parted = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*parted).difference(self.known) if parted else set()
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known = {}
-            new = set().union(*parted)
-        new = list(new)
+        parted = [(t if "<|" in t else t.encode("utf-8", "replace").translate(_LOWER).decode())
+                  .replace("\n", " ").split(" ") for t in texts]
+        known = self.known
+        new = list(set().union(*parted).difference(known))
+        found = {}
         for at in range(0, len(new), 20_000):
             some = new[at:at + 20_000]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(
+            for word, ids in zip(some, self.tokenizer.encode_batch_fast(
                     some, add_special_tokens=False)):
-                self.known[word] = np.asarray(found.ids, "<u4").tobytes()
-        known = self.known
-        return [b"".join([known[w] for w in p]) for p in parted]
+                found[word] = array("I", ids.ids).tobytes()
+        if len(known) + len(found) <= CACHED_WORDS:
+            known.update(found)
+        else:
+            known = {**{w: known[w] for p in parted for w in p if w in known}, **found}
+        return [b"".join(map(known.__getitem__, p)) for p in parted]
+
+
+_ENCODERS = {}
+
+
+def encoder_of(path: str) -> WordEncoder:
+    """The worker's encoder, kept from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
 def _small_groups(texts: list, limit: int = 1 << 22):
@@ -89,7 +103,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, end_id: in
         import pyarrow as pa
         from pyspark import TaskContext
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = WordEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         part = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         step = capacity * 4
