@@ -1,20 +1,64 @@
 """The registered queries of the text operators, each over its whole table."""
 
-from cellpulse.llm import main_text, packing
+from pyspark.sql import functions as F
+
+from cellpulse.llm import (chat, imatch, language_id, license_scan, line_dedup, line_quality,
+                           main_text, mixing, near_dedup, packing)
 from cellpulse.llm.text import table
 
 
+def language(spark, folder):
+    return language_id.identify(table(spark, folder, "documents"))
+
+
+def aligned_lines(spark, folder):
+    out = line_dedup.dedup(table(spark, folder, "documents"))
+    return out.select("doc_id", "text", F.char_length("text").cast("bigint").alias("n_chars"),
+                      F.col("_cut_lines").cast("bigint").alias("n_cut_lines"))
+
+
+def fingerprints(spark, folder):
+    return imatch.fingerprints(table(spark, folder, "documents"))
+
+
 def best_fit_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"))
 
 
+def licenses(spark, folder):
+    return license_scan.scan(table(spark, folder, "documents"))
+
+
+def source_mix(spark, folder):
+    return mixing.mix_sizes(table(spark, folder, "documents"))
+
+
+def perspectives(spark, folder):
+    return chat.render(table(spark, folder, "conversations"))
+
+
+def quality(spark, folder):
+    return line_quality.judge(table(spark, folder, "documents"))
+
+
+def near_duplicates(spark, folder):
+    return near_dedup.components(table(spark, folder, "documents"))
+
+
 def html_extraction(spark, folder):
-    pages = table(spark, folder, "pages")
-    return main_text.extract(pages, ["page_id", "url"])
+    return main_text.extract(table(spark, folder, "pages"), ["page_id", "url"])
 
 
 QUERIES = {
+    "op1_language_id": language,
+    "op2_line_dedup": aligned_lines,
+    "op3_imatch_fingerprints": fingerprints,
     "op4_best_fit_packing": best_fit_packing,
+    "op5_license_scan": licenses,
+    "op6_source_mixing": source_mix,
+    "op7_chat_perspectives": perspectives,
+    "op8_line_frequency_quality": quality,
+    "op9_lsh_forest_near_dedup": near_duplicates,
     "op10_html_extraction": html_extraction,
 }
-ORACLES = {}
+ORACLES = {"op7_chat_perspectives": chat.RENDER_SQL}
