@@ -1,6 +1,8 @@
 """Registered look-back, forecast and fact-table queries."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from cellpulse import schema
 from cellpulse.operators import lookback
@@ -86,7 +88,12 @@ def _facts(spark, sf, kpis):
 
 
 def fc_fact_rows(spark, sf):
-    return _facts(spark, sf, ["throughput_dl_mbps"])[0]
+    return reduce(DataFrame.unionByName, _facts(spark, sf, list(schema.FORECAST_UNITS)))
+
+
+def fc_history(spark, sf):
+    """The last 30 points that the forecast of each cell and KPI starts from."""
+    return rounded(fc.history(kpi_view(spark, sf), schema.SLA_KPIS, ["cell_id"]))
 
 
 def fc_samples(spark, sf):
@@ -97,9 +104,10 @@ def fc_samples(spark, sf):
 def fact_union(spark, sf):
     root = new_path(spark, "facts")
     kpis = list(schema.FORECAST_UNITS)
-    for kpi, facts in zip(kpis, _facts(spark, sf, kpis[:3])):  # the fourth file stays missing
+    for kpi, facts in zip(kpis, _facts(spark, sf, kpis)):
         files.write_csv(facts, f"{root}/{kpi}", files.MICROS)
-    return files.union_facts(spark, [f"{root}/{kpi}" for kpi in kpis], files.MICROS)
+    # A fifth file stays missing and is skipped.
+    return files.union_facts(spark, [f"{root}/{kpi}" for kpi in [*kpis, "none"]], files.MICROS)
 
 
 def fc_window_model(spark, sf):
@@ -114,5 +122,6 @@ def fc_window_facts(spark, sf):
 
 FORECAST = {f.__name__: f for f in [
     win_lead_target, win_sequences, win_sequences_global, win_last_n, q_latest_slice, fc_linear,
+    fc_history,
     fc_linear_all, fc_sla_status, fc_sla_worst_case, fc_metrics, fc_fact_rows, fc_samples,
     fact_union, fc_window_model, fc_window_facts]}

@@ -106,9 +106,13 @@ FORECAST_SQL = {
         "FROM sla GROUP BY kpi, bad_side) t ON t.kpi = fc.kpi WHERE step = 10",
         SLA, _history(schema.SLA_KPIS, "")),
     "fc_metrics": with_kpi(_METRICS),
-    "fc_fact_rows": with_kpi(_fact("throughput_dl_mbps")),
-    "fact_union": with_kpi(" UNION ALL ".join(
-        _fact(k) for k in list(schema.FORECAST_UNITS)[:3])),
+    "fc_fact_rows": with_kpi(" UNION ALL ".join(_fact(k) for k in schema.FORECAST_UNITS)),
+    "fact_union": with_kpi(" UNION ALL ".join(_fact(k) for k in schema.FORECAST_UNITS)),
+    "fc_history": with_kpi(" UNION ALL ".join(
+        f"SELECT '{k}' AS kpi, cell_id, count(*) OVER (PARTITION BY cell_id) - rn AS step, "
+        f'"timestamp", round({k}, 6) AS value FROM (SELECT *, row_number() OVER (PARTITION BY '
+        f'cell_id ORDER BY "timestamp" DESC, id DESC) AS rn FROM kpi WHERE {k} IS NOT NULL) '
+        "WHERE rn <= 30" for k in schema.SLA_KPIS)),
     "fc_samples": with_kpi(
         "SELECT i AS sample_index, cell_id, round(prediction, 4) AS predicted, "
         "round(target, 4) AS actual, round(abs(prediction - target), 4) AS abs_error, "

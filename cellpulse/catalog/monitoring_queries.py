@@ -23,11 +23,6 @@ def last_day(spark, sf, **filters):
     return mo.scope_of(df, latest(df), 24, **filters)
 
 
-def whole_period(spark, sf):
-    df = kpi_view(spark, sf)
-    return mo.scope_of(df, latest(df), 24 * 365)
-
-
 # ---- sources -------------------------------------------------------------
 
 def src_csv_roundtrip(spark, sf):
@@ -48,8 +43,9 @@ def src_schema_evolve(spark, sf):
     rows = predictions_table(spark, sf)
     older = F.col("ml_prediction") == 0
     rows.where(older).drop("ue_id").write.mode("append").parquet(
-        paths["predictions"] + "/batch_id=1")
-    rows.where(~older).write.mode("append").parquet(paths["predictions"] + "/batch_id=2")
+        tables.batch_path(paths["predictions"], "2024-01-01", 1))
+    rows.where(~older).write.mode("append").parquet(
+        tables.batch_path(paths["predictions"], "2024-01-02", 2))
     return rounded(tables.read_table(spark, paths["predictions"], schema.PREDICTIONS))
 
 
@@ -62,9 +58,8 @@ def q_predictions(spark, sf):
 
 
 def q_predictions_deep(spark, sf):
-    """A page far behind the newest row, cut by position."""
-    return rounded(mo.predictions(predictions_table(spark, sf), limit=300, offset=450,
-                                  top_k_rows=500))
+    """A page far behind the newest row."""
+    return rounded(mo.predictions(predictions_table(spark, sf), limit=300, offset=450))
 
 
 def q_network(spark, sf):
@@ -143,11 +138,11 @@ def q_health_totals(spark, sf):
 
 
 def q_severity_ranking(spark, sf):
-    return mo.severity_ranking(whole_period(spark, sf))
+    return mo.severity_ranking(kpi_view(spark, sf))
 
 
 def q_dominant_type(spark, sf):
-    return mo.dominant_type(whole_period(spark, sf))
+    return mo.dominant_type(kpi_view(spark, sf))
 
 
 def q_anomaly_summary(spark, sf):
@@ -156,11 +151,11 @@ def q_anomaly_summary(spark, sf):
 
 
 def q_type_distribution(spark, sf):
-    return mo.type_distribution(whole_period(spark, sf))
+    return mo.type_distribution(kpi_view(spark, sf))
 
 
 def q_avg_duration(spark, sf):
-    return mo.anomaly_head(whole_period(spark, sf)).select(
+    return mo.anomaly_head(kpi_view(spark, sf)).select(
         "dominant_anomaly_type", "avg_anomaly_duration_min")
 
 

@@ -1,4 +1,4 @@
-"""Registered streaming queries: each replays the table, runs its job to the end, reads the sink."""
+"""Registered streaming queries: each writes the table as messages, runs its job, reads the sink."""
 
 from pyspark.sql import functions as F
 
@@ -8,7 +8,7 @@ from cellpulse.session import new_path, rounded
 from cellpulse.sources import tables
 from cellpulse.sources.kpi_view import kpi_view, raw_records
 from cellpulse.streaming import jobs
-from cellpulse.streaming.replay import message, open_messages, replay
+from cellpulse.streaming.messages import message, open_messages
 
 NOW = {"availableNow": True}
 
@@ -19,7 +19,7 @@ def _week():
 
 def _raw_messages(spark, sf):
     path = new_path(spark, "raw-messages")
-    replay(raw_records(spark, sf), path, _week())
+    message(raw_records(spark, sf)).write.text(path)
     return path
 
 
@@ -72,7 +72,7 @@ def _models(spark, sf):
 
 
 def stream_score(spark, sf):
-    """Stored models applied to the replayed messages; model fields are reduced to their rules."""
+    """Stored models applied to the stream, against the same models applied to the table."""
     fitted = []
     for model in _models(spark, sf):
         path = new_path(spark, "model")
@@ -81,16 +81,19 @@ def stream_score(spark, sf):
     out = new_path(spark, "scored")
     _finish(*jobs.start_scoring(open_messages(spark, _raw_messages(spark, sf)), *fitted,
                                 out, out + "-log", trigger=NOW))
-    rows = _read(spark, out, schema.SCORED_RECORD)
-    sure = F.col("ml_confidence").between(0.5, 1.0) & F.col(
-        "ml_anomaly_type_confidence").between(1 / 9, 1.0)
-    types = schema.ANOMALY_TYPES + [schema.NORMAL]
-    return rounded(rows.select(
-        "timestamp", "cell_id", "ue_id", "slice_type", "one_way_latency_ms", "bler_percent",
-        "actual_anomaly", "actual_anomaly_type",
-        ((F.col("ml_anomaly_label") == "anomaly") == (F.col("ml_prediction") == 1))
-        .alias("label_fits"), sure.alias("confidence_fits"),
-        F.col("ml_anomaly_type").isin(types).alias("type_known")))
+    names = ["timestamp", "cell_id", "ue_id", "slice_type", "actual_anomaly",
+             "actual_anomaly_type"]
+    made = ["ml_prediction", "ml_confidence", "ml_anomaly_label", "ml_anomaly_type",
+            "ml_anomaly_type_confidence"]
+    streamed = _read(spark, out, schema.SCORED_RECORD).select(*names, F.struct(*made).alias("s"))
+    batch = raw_records(spark, sf).withColumn("value", F.lit('{"slice_type": 0}'))
+    batch = jobs.score(batch, *fitted).select(*names[:3], F.struct(*made).alias("b"))
+    gap = F.greatest(F.abs(F.col("s.ml_confidence") - F.col("b.ml_confidence")), F.abs(
+        F.col("s.ml_anomaly_type_confidence") - F.col("b.ml_anomaly_type_confidence")))
+    return streamed.join(batch, names[:3]).select(
+        *names, *[(F.col(f"s.{m}") == F.col(f"b.{m}")).alias(f"{m}_equal") for m in
+                  ("ml_prediction", "ml_anomaly_label", "ml_anomaly_type")],
+        F.round(gap, 6).alias("confidence_gap"))
 
 
 def _ingested(spark, sf):
@@ -112,11 +115,21 @@ def stream_alerts(spark, sf):
 
 
 def stream_hourly(spark, sf):
+    """Counts of all hours, open ones included, after the last batch."""
     source = open_messages(spark, _scored_messages(spark, sf))
     records = jobs.good(jobs.parse(source, schema.SCORED_RECORD))
     out = new_path(spark, "hourly")
-    _finish(jobs.start_hourly(records, out, out + "-log", trigger=NOW))
-    return spark.read.parquet(out).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+    _finish(jobs.start_hourly(records, out, out + "-log", trigger=NOW, complete=True))
+    return jobs.read_hourly(spark, out).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+
+
+def stream_progress(spark, sf):
+    """Rows counted by the scoring job's own batch reports."""
+    out = new_path(spark, "scored")
+    queries = jobs.start_scoring(open_messages(spark, _raw_messages(spark, sf)),
+                                 *_models(spark, sf), out, out + "-log", trigger=NOW)
+    _finish(*queries)
+    return jobs.progress(spark, queries[0]).agg(F.sum("rows").alias("rows"))
 
 
 def stream_bad_records(spark, sf):
@@ -140,4 +153,4 @@ def stream_bad_records(spark, sf):
 
 STREAMING = {f.__name__: f for f in [
     stream_replay, stream_json_source, stream_json_sink, stream_score, stream_predictions_sink,
-    stream_alerts, stream_hourly, stream_bad_records]}
+    stream_alerts, stream_hourly, stream_progress, stream_bad_records]}

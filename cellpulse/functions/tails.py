@@ -34,3 +34,31 @@ def chi2_tail(x: Column, dof: Column) -> Column:
             return min(q, 1.0)
         return pd.Series([one(v, k) for v, k in zip(values, freedoms)], dtype="float64")
     return tail(x, dof)
+
+
+# Rational approximation of the normal quantile (Wichura 1988, AS 241), highest
+# power first.
+_CENTRE_TOP = [2509.0809287301226727, 33430.575583588128105, 67265.770927008700853,
+               45921.953931549871457, 13731.693765509461125, 1971.5909503065514427,
+               133.14166789178437745, 3.3871328727963666080]
+_CENTRE_BOTTOM = [5226.4952788528545610, 28729.085735721942674, 39307.895800092710610,
+                  21213.794301586595867, 5394.1960214247511077, 687.18700749205790830,
+                  42.313330701600911252, 1.0]
+_TAIL_TOP = [7.74545014278341407640e-4, 2.27238449892691845833e-2, 0.241780725177450611770,
+             1.27045825245236838258, 3.64784832476320460504, 5.76949722146069140550,
+             4.63033784615654529590, 1.42343711074968357734]
+_TAIL_BOTTOM = [1.05075007164441684324e-9, 5.47593808499534494600e-4, 1.51986665636164571966e-2,
+                0.148103976427480074590, 0.689767334985100004550, 1.67638483018380384940,
+                2.05319162663775882187, 1.0]
+# End of fixed values.
+
+
+def normal_quantile(share):
+    """Standard normal quantiles of an array of shares between 1e-10 and 1 - 1e-10."""
+    import numpy as np
+    q = np.asarray(share, "float64") - 0.5
+    near = 0.180625 - q * q
+    centre = q * np.polyval(_CENTRE_TOP, near) / np.polyval(_CENTRE_BOTTOM, near)
+    far = np.sqrt(-np.log(np.maximum(0.5 - np.abs(q), 1e-10))) - 1.6
+    tail = np.sign(q) * np.polyval(_TAIL_TOP, far) / np.polyval(_TAIL_BOTTOM, far)
+    return np.where(np.abs(q) <= 0.425, centre, tail)

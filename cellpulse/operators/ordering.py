@@ -46,23 +46,25 @@ def row_index(df: DataFrame, order: list, keys: list = (), name: str = "row_inde
             .drop("_pos", "_part", "_first", "_before"))
 
 
+def edge(row, order: list, kinds: dict):
+    """The order values of a row as a constant that compares like the sort: nulls first."""
+    return F.struct(*[(F.lit(None) if row[c] is None else F.lit(str(row[c])))
+                      .cast(kinds[c]).alias(c) for c in order])
+
+
 def rows_between(df: DataFrame, order: list, first: int, last: int) -> DataFrame:
     """Rows at positions ``first`` to ``last`` (from 1, inclusive) of the ordered frame.
 
-    Only the order columns, which must be unique and not null, are sorted. The rows at the two
+    Only the order columns, which must be unique, are sorted, nulls first. The rows at the two
     ends come back, and the full rows are compared with them in place.
     """
     spots = row_index(df.select(*order), order, name="_idx")
     ends = {r["_idx"]: r for r in spots.where(F.col("_idx").isin(first, last)).collect()}
     kinds = dict(df.dtypes)
-
-    def edge(position):
-        row = ends[position]
-        return F.struct(*[F.lit(str(row[c])).cast(kinds[c]).alias(c) for c in order])
     if first > last or first not in ends:
         return df.where(F.lit(False))
-    out = df.where(F.struct(*order) >= edge(first))
-    return out.where(F.struct(*order) <= edge(last)) if last in ends else out
+    out = df.where(F.struct(*order) >= edge(ends[first], order, kinds))
+    return out.where(F.struct(*order) <= edge(ends[last], order, kinds)) if last in ends else out
 
 
 def running_totals(df: DataFrame, order: list, sums: list, keys: list = ()) -> DataFrame:

@@ -7,7 +7,7 @@ are ranked, and the boundary found there is compared with every row in place.
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cellpulse.operators.ordering import row_index
+from cellpulse.operators.ordering import edge, row_index
 from cellpulse.session import materialise, small_broadcast, small_table
 
 _PREFIX = 4  # hex digits: 65536 even shares of each class
@@ -63,10 +63,9 @@ def split_chronological(df: DataFrame, order: list, train: float = 0.8) -> DataF
     bound = spots.where(F.col("_idx") == cut).first()
     if bound is None:
         return df.withColumn("part", F.lit("test"))
-    kinds = dict(df.dtypes)
-    edge = F.struct(*[F.lit(str(bound[c])).cast(kinds[c]).alias(c) for c in order])
+    last = edge(bound, order, dict(df.dtypes))
     return df.withColumn(
-        "part", F.when(F.struct(*order) <= edge, "train").otherwise("test"))
+        "part", F.when(F.struct(*order) <= last, "train").otherwise("test"))
 
 
 def sample_stratified(df: DataFrame, label: str, key: str, cap: int) -> DataFrame:

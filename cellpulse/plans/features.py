@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cellpulse import schema
 from cellpulse.functions.scalar import date_parts, encode, safe_date_parts
+from cellpulse.functions.tails import normal_quantile
 from cellpulse.operators.ordering import quantile_grid, quantiles
 from cellpulse.session import small_broadcast, small_table
 
@@ -113,19 +114,28 @@ def _best_powers(long: DataFrame) -> dict:
 
 
 def yeo_johnson_scaler(train: DataFrame, columns: list):
-    """Powers by a coarse and a fine grid search on the training rows, then standard scaling."""
+    """Powers by a coarse and a fine grid search on the training rows, then standard scaling.
+
+    A coarse grid whose end fits best is moved there and searched again, so no power is out of
+    reach.
+    """
     columns = list(columns)
     long = train.select(*columns).unpivot([], columns, "name", "value").where("value IS NOT NULL")
-    coarse = F.explode(F.array(*[F.lit(round(-2 + 0.2 * i, 1)) for i in range(21)]))
-    start = _best_powers(long.withColumn("lam", coarse))
-    if start:
-        pairs = [v for name, lam in start.items() for v in (F.lit(name), F.lit(lam))]
+
+    def search(centres, step, reach):
+        if not centres:
+            return {}
+        pairs = [v for name, lam in centres.items() for v in (F.lit(name), F.lit(lam))]
         centre = F.element_at(F.create_map(*pairs), F.col("name"))
-        near = F.explode(F.array(*[F.round(centre + 0.02 * i, 2) for i in range(-9, 10)]))
-        powers = _best_powers(long.where(F.col("name").isin(list(start)))
-                              .withColumn("lam", near))
-    else:
-        powers = {}
+        grid = F.explode(F.array(*[F.round(centre + step * i, 2) for i in range(-reach, reach + 1)]))
+        return _best_powers(long.where(F.col("name").isin(list(centres))).withColumn("lam", grid))
+    start, open_ = {}, dict.fromkeys(columns, 0.0)
+    while open_:
+        found = search(open_, 0.2, 10)
+        start.update(found)
+        # Likelihood is not worth following where powers overflow.
+        open_ = {c: lam for c, lam in found.items() if abs(lam - open_[c]) > 1.9 and abs(lam) < 60}
+    powers = search(start, 0.02, 9)
 
     def warp(df: DataFrame) -> DataFrame:
         return df.withColumns({c: yeo_johnson(F.col(c), powers[c]) for c in columns
@@ -147,14 +157,12 @@ def normal_quantile_scaler(train: DataFrame, columns: list, points: int = 1000):
         def to_normal(values):
             import numpy as np
             import pandas as pd
-            from statistics import NormalDist
             x = values.to_numpy(dtype="float64")
             ref, p = np.asarray(marks), np.linspace(0.0, 1.0, len(marks))
             # Equal landmarks: take the middle of the lowest and highest fitting share.
             share = 0.5 * (np.interp(x, ref, p) - np.interp(-x, -ref[::-1], -p[::-1]))
             share = np.clip(share, 1e-7, 1 - 1e-7)
-            inverse = NormalDist().inv_cdf
-            return pd.Series([inverse(s) if s == s else None for s in share], dtype="float64")
+            return pd.Series(normal_quantile(share), dtype="float64")
         return to_normal
 
     def scale(df: DataFrame) -> DataFrame:

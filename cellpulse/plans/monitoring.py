@@ -4,29 +4,22 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cellpulse import schema
 from cellpulse.functions.scalar import hour_bucket, hour_label, hours_before, meets
-from cellpulse.operators.ordering import rows_between
-
-TOP_K_ROWS = 100_000  # up to here a page is taken as a per-task top-k
+from cellpulse.session import materialise
 
 
 def _rows():
     return F.count(F.lit(1))
 
 
-def page(df: DataFrame, newest: list, limit: int, offset: int = 0,
-         top_k_rows: int = TOP_K_ROWS) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit``, newest first.
+def page(df: DataFrame, newest: list, limit: int, offset: int = 0) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit``, newest first; null keys come last.
 
-    A shallow page is a top-k; a deep one is cut by position, so that no task holds all
-    rows in front of it.
+    Spark takes a per-task top-k, or a range-partitioned sort where offset + limit exceeds
+    ``spark.sql.execution.topKSortFallbackThreshold``.
     """
     if limit < 0 or offset < 0:
         raise ValueError("limit and offset must not be negative")
-    if offset + limit <= top_k_rows:
-        return df.orderBy(*[F.desc(c) for c in newest]).offset(offset).limit(limit)
-    total = df.count()
-    wanted = rows_between(df, newest, max(1, total - offset - limit + 1), total - offset)
-    return wanted.orderBy(*[F.desc(c) for c in newest])
+    return df.orderBy(*[F.desc(c) for c in newest]).offset(offset).limit(limit)
 
 
 def _equal(df: DataFrame, **wanted) -> DataFrame:
@@ -38,7 +31,7 @@ def _equal(df: DataFrame, **wanted) -> DataFrame:
 
 def predictions(df: DataFrame, slice_type=None, cell_id=None, anomaly_only=False,
                 anomaly_source="ml", limit=1000, offset=0, start_time=None,
-                end_time=None, top_k_rows=TOP_K_ROWS) -> DataFrame:
+                end_time=None) -> DataFrame:
     if limit > 50_000:
         raise ValueError("limit is at most 50000")
     out = _equal(df, slice_type=slice_type, cell_id=cell_id)
@@ -49,7 +42,7 @@ def predictions(df: DataFrame, slice_type=None, cell_id=None, anomaly_only=False
         out = out.where(F.col("timestamp") >= F.lit(str(start_time)).cast("timestamp_ntz"))
     if end_time:
         out = out.where(F.col("timestamp") <= F.lit(str(end_time)).cast("timestamp_ntz"))
-    return page(out, ["timestamp", "id"], limit, offset, top_k_rows)
+    return page(out, ["timestamp", "id"], limit, offset)
 
 
 def network(df: DataFrame, slice_type=None, cell_id=None, limit=1000, offset=0) -> DataFrame:
@@ -139,8 +132,18 @@ def _rate(count: str, total: str = "total") -> Column:
 
 
 def recent(df: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
-    """Rows ingested in the last hours; the bound is a constant, so the scan is pruned by it."""
-    return df.where(F.col("ingested_at") >= hours_before(as_of, hours))
+    """Rows ingested in the last hours; the bound is a constant, so the scan is pruned by it.
+
+    A table read with its ``ingest_date`` partitions lists only the days in question.
+    """
+    since = hours_before(as_of, hours)
+    if "ingest_date" in df.columns:
+        df = df.where(F.col("ingest_date") >= F.to_date(since))
+    return df.where(F.col("ingested_at") >= since)
+
+
+def _status(rate: Column) -> Column:
+    return F.when(rate < 0.02, "Healthy").when(rate < 0.07, "Degraded").otherwise("Critical")
 
 
 def network_health(df: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
@@ -153,8 +156,7 @@ def network_health(df: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
         F.max("actual_anomaly_type").alias("dominant_anomaly_type"),
         F.countDistinct("ue_id").alias("ue_count"))
     rate = _rate("anomaly_count")
-    status = F.when(rate < 0.02, "Healthy").when(rate < 0.07, "Degraded").otherwise("Critical")
-    return (per_cell.withColumn("anomaly_rate", F.round(rate, 4)).withColumn("status", status)
+    return (per_cell.withColumn("anomaly_rate", F.round(rate, 4)).withColumn("status", _status(rate))
             .orderBy(F.desc_nulls_last("anomaly_count"), "cell_id"))
 
 
@@ -164,18 +166,20 @@ def top_cells(health: DataFrame, n: int = 10) -> DataFrame:
 
 
 def health_totals(df: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
-    """Cells per status, and devices and rows with a known device."""
-    health = network_health(df, as_of, hours)
-    states = health.agg(
-        _rows().alias("total_cells"),
-        *[F.count_if(F.col("status") == s).alias(s.lower())
-          for s in ("Healthy", "Degraded", "Critical")])
-    known = recent(df, as_of, hours).where(F.col("ue_id").isNotNull())
-    devices = known.agg(F.countDistinct("ue_id").alias("active_ues"),
-                        _rows().alias("total_records"))
-    # Two one-row frames side by side.
-    one = F.lit(1).alias("_one")
-    return states.select("*", one).join(devices.select("*", one), "_one").drop("_one")
+    """Cells per status, and devices and rows with a known device, in one pass."""
+    groups = recent(df, as_of, hours).groupBy("cell_id", "ue_id").agg(
+        _rows().alias("n"), F.sum("actual_anomaly").alias("a"))
+    sides = groups.groupingSets([["cell_id"], ["ue_id"]], "cell_id", "ue_id").agg(
+        F.sum("n").alias("total"), F.sum("a").alias("anomaly_count"),
+        (F.grouping("cell_id") == 0).alias("_cell"))
+    cell, device = F.col("_cell"), ~F.col("_cell") & F.col("ue_id").isNotNull()
+    status = _status(_rate("anomaly_count"))
+    return sides.agg(
+        F.count_if(cell).alias("total_cells"),
+        *[F.count_if(cell & (status == s)).alias(s.lower())
+          for s in ("Healthy", "Degraded", "Critical")],
+        F.count_if(device).alias("active_ues"),
+        F.coalesce(F.sum(F.when(device, F.col("total"))), F.lit(0)).alias("total_records"))
 
 
 # ---- anomaly summary -----------------------------------------------------
@@ -219,28 +223,30 @@ def type_distribution(scope: DataFrame) -> DataFrame:
 
 
 def anomaly_head(scope: DataFrame) -> DataFrame:
-    """Totals over all rows in scope, the most frequent type and the mean duration."""
-    by_cell_type = scope.groupBy("cell_id", "ml_anomaly_type", "ml_prediction").agg(
-        _rows().alias("n"))
+    """Totals over all rows in scope, the most frequent type and the mean duration.
+
+    One pass counts rows per cell, device and type; the sides are summed from those groups.
+    """
     flagged = F.col("ml_prediction") == 1
-    totals = by_cell_type.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.col("ml_prediction") * F.col("n")), F.lit(0))
-        .alias("active_anomalies"),
-        F.countDistinct("cell_id").alias("affected_cells"),
-        F.countDistinct(F.when(flagged, F.col("cell_id"))).alias("_cells_hit"))
-    devices = scope.agg(F.countDistinct("ue_id").alias("affected_ues"))
-    types = by_cell_type.where(flagged).groupBy("ml_anomaly_type").agg(F.sum("n").alias("n"))
+    keys = ["cell_id", "ue_id", "ml_anomaly_type"]
+    groups = scope.groupBy(*keys).agg(
+        _rows().alias("n"), F.sum("ml_prediction").alias("s"), F.count_if(flagged).alias("f"))
+    sides = groups.groupingSets([[k] for k in keys], *keys).agg(
+        F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("f").alias("f"),
+        *[(F.grouping(k) == 0).alias(f"_{k}") for k in keys])
+    cell, device, kind = (F.col(f"_{k}") for k in keys)
+    known = cell & F.col("cell_id").isNotNull()
     # Largest count first, then the alphabetically first type.
-    top = types.agg(F.min_by("ml_anomaly_type",
-                             F.struct((-F.col("n")).alias("n"), "ml_anomaly_type"))
-                    .alias("dominant_anomaly_type"))
-    one = F.lit(1).alias("_one")
-    joined = (totals.select("*", one).join(devices.select("*", one), "_one")
-              .join(top.select("*", one), "_one"))
-    duration = F.col("active_anomalies") / F.greatest("_cells_hit", F.lit(1)) / 60.0
-    return joined.select("total", "active_anomalies", "dominant_anomaly_type", "affected_cells",
-                         "affected_ues", F.round(duration, 2).alias("avg_anomaly_duration_min"))
+    best = F.min_by("ml_anomaly_type", F.when(kind & (F.col("f") > 0), F.struct(
+        (-F.col("f")).alias("n"), "ml_anomaly_type")))
+    active = F.coalesce(F.sum(F.when(kind, F.col("s"))), F.lit(0))
+    duration = active / F.greatest(F.count_if(known & (F.col("f") > 0)), F.lit(1)) / 60.0
+    return sides.agg(
+        F.coalesce(F.sum(F.when(kind, F.col("n"))), F.lit(0)).alias("total"),
+        active.alias("active_anomalies"), best.alias("dominant_anomaly_type"),
+        F.count_if(known).alias("affected_cells"),
+        F.count_if(device & F.col("ue_id").isNotNull()).alias("affected_ues"),
+        F.round(duration, 2).alias("avg_anomaly_duration_min"))
 
 
 def anomaly_summary(df: DataFrame, as_of=None, hours: int = 24, slice_type=None,
@@ -281,11 +287,7 @@ def breach_trend(alerts: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     counted = df.groupBy(column).agg(_rows().alias("count"))
-    total = df.agg(_rows().alias("_total"))
-    one = F.lit(1).alias("_one")
-    return (counted.select("*", one).join(total.select("*", one), "_one")
-            .select(column, "count", (F.col("count") * 100.0 / F.col("_total")).alias("percent"))
-            .orderBy(F.desc("count"), column))
+    return value_counts_of(counted, column, "count").orderBy(F.desc("count"), column)
 
 
 def rate_by_slice(df: DataFrame) -> DataFrame:
@@ -319,7 +321,11 @@ def profile(df: DataFrame) -> DataFrame:
     Sections: totals, anomaly types (share of anomalies), cells per slice (the slice of a
     cell is that of its first record) and first and last time stamp.
     """
-    by_type = df.groupBy("anomaly", "anomaly_type").agg(_rows().alias("n"))
+    # One pass over the rows; every section is summed from these groups.
+    groups = materialise(df.groupBy("cell_id", "ue_id", "slice_type", "anomaly", "anomaly_type")
+                         .agg(_rows().alias("n"), F.min("timestamp").alias("a"),
+                              F.max("timestamp").alias("b")), "profile")
+    by_type = groups.groupBy("anomaly", "anomaly_type").agg(F.sum("n").alias("n"))
     wide = by_type.agg(F.sum("n").alias("rows"),
                        F.sum(F.when(F.col("anomaly") == 0, F.col("n"))).alias("normal"),
                        F.sum(F.when(F.col("anomaly") == 1, F.col("n"))).alias("anomalies"))
@@ -332,15 +338,13 @@ def profile(df: DataFrame) -> DataFrame:
     types = value_counts_of(by_type.where("anomaly = 1"), "anomaly_type", "n").select(
         F.lit("anomaly_type").alias("section"), F.col("anomaly_type").alias("item"), "n",
         "percent")
-    per_cell = (df.groupBy("cell_id", "slice_type").agg(F.min("timestamp").alias("t"))
+    per_cell = (groups.groupBy("cell_id", "slice_type").agg(F.min("a").alias("t"))
                 .groupBy("cell_id").agg(
                     F.min_by("slice_type", F.struct("t", "slice_type")).alias("slice_type")))
     slices = per_cell.groupBy("slice_type").agg(_rows().alias("n")).select(
         F.lit("cells_per_slice").alias("section"), F.col("slice_type").alias("item"), "n",
         F.lit(None).cast("double").alias("percent"))
-    pairs = df.groupBy("cell_id", "ue_id").agg(F.min("timestamp").alias("a"),
-                                               F.max("timestamp").alias("b"))
-    ids = pairs.agg(F.countDistinct("cell_id").alias("cells"),
+    ids = groups.agg(F.countDistinct("cell_id").alias("cells"),
                     F.countDistinct("ue_id").alias("ues"),
                     F.min("a").alias("a"), F.max("b").alias("b"))
     none = F.lit(None).cast("long")

@@ -4,7 +4,6 @@ from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cellpulse.operators import sampling
 from cellpulse.plans.features import assemble
 from cellpulse.plans.stats import percentile_cut
 
@@ -15,13 +14,19 @@ def fit_isolation_forest(df: DataFrame, inputs: list, key: str, trees: int = 200
                          sample: int = 256, seed: int = 42) -> list:
     """Grow ``trees`` trees on ``sample`` rows each; returns their nodes.
 
-    The subsample per tree belongs to the method. A pool of trees × sample rows is drawn in
-    hash order, then every tree takes the pool rows of its own smallest hashes, one task
-    group of ``sample`` rows per tree. At most trees × (2 · sample) nodes come back.
+    The subsample per tree belongs to the method. Every row has a hash per tree and may enter
+    any tree: a tree takes the rows of its ``sample`` smallest hashes. A bound on the hash, wide
+    enough to leave ``sample`` rows by twelve standard deviations, is tested in place, so little
+    more than the subsamples is shuffled. At most trees × (2 · sample) nodes come back.
     """
-    pool = sampling.sample_uniform(df.select(key, *inputs), key, trees * sample)
-    dealt = pool.withColumn("tree", F.explode(F.expr(f"sequence(0L, {trees - 1}L)")))
-    turn = Window.partitionBy("tree").orderBy(F.xxhash64(F.col(key), F.col("tree"), F.lit(seed)))
+    total = df.count()
+    share = min(1.0, (sample + 12 * sample ** 0.5 + 20) / max(total, 1))
+    dealt = (df.select(key, *inputs, F.explode(F.filter(
+        F.expr(f"transform(sequence(0L, {trees - 1}L), t -> named_struct('tree', t, 'place', "
+               f"pmod(xxhash64(`{key}`, t, {seed}), {1 << 40}L)))"),
+        lambda s: s["place"] <= share * (1 << 40))).alias("_s"))
+        .select(key, *inputs, "_s.tree", "_s.place"))
+    turn = Window.partitionBy("tree").orderBy("place", key)
     dealt = dealt.withColumn("_rn", F.row_number().over(turn)).where(F.col("_rn") <= sample)
 
     def grow(keys, frame):

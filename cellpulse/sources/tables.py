@@ -1,7 +1,7 @@
 """The predictions and alerts tables as parquet folders."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from cellpulse import schema
 from cellpulse.sources.files import path_exists
@@ -15,16 +15,41 @@ def conform(df: DataFrame, target: StructType) -> DataFrame:
         for f in target.fields])
 
 
+PARTITIONS = StructType([StructField("ingest_date", DateType()),
+                         StructField("batch_id", LongType())])
+
+
+def batch_path(root: str, day, batch: int) -> str:
+    """Folder of one micro-batch; the day above it lets time filters skip folders."""
+    return f"{root}/ingest_date={day}/batch_id={batch}"
+
+
 def init_tables(spark: SparkSession, root: str) -> dict:
-    """Create the two empty tables where missing; existing data stays. Returns their paths."""
+    """Create the two empty tables where missing; existing data stays. Returns their paths.
+
+    ``bad`` is the folder for unreadable messages.
+    """
     paths = {"predictions": f"{root}/predictions", "alerts": f"{root}/alerts"}
     for name, record in (("predictions", schema.PREDICTIONS), ("alerts", schema.ALERTS)):
         if not path_exists(spark, paths[name]):
-            (spark.createDataFrame([], record).withColumn("batch_id", F.lit(0).cast("long"))
-             .write.mode("ignore").partitionBy("batch_id").parquet(paths[name]))
-    return paths
+            (spark.createDataFrame([], StructType(record.fields + PARTITIONS.fields))
+             .write.mode("ignore").partitionBy(*PARTITIONS.names).parquet(paths[name]))
+    return {**paths, "bad": f"{root}/bad"}
+
+
+def read_table(spark: SparkSession, path: str, target: StructType,
+               partitions: bool = False) -> DataFrame:
+    """Read files of any age: the declared schema pads columns that older files lack.
+
+    With ``partitions``, ``ingest_date`` and ``batch_id`` come too; the latter makes ids unique.
+    """
+    rows = spark.read.schema(StructType(target.fields + PARTITIONS.fields)).parquet(path)
+    return rows.select(*target.names, *(PARTITIONS.names if partitions else []))
 
 
-def read_table(spark: SparkSession, path: str, target: StructType) -> DataFrame:
-    """Read files of any age: the declared schema pads columns that older files lack."""
-    return spark.read.schema(target).parquet(path).select(target.names)
+def compact(spark: SparkSession, path: str, target: StructType, day, to: str, files: int = 1):
+    """Rewrite one closed day of a table as a few files sorted by cell under another root."""
+    rows = read_table(spark, path, target, partitions=True).where(F.col("ingest_date") == day)
+    (rows.drop("ingest_date").repartitionByRange(files, "cell_id", "batch_id", "id")
+     .sortWithinPartitions("cell_id", "batch_id", "id")
+     .write.mode("overwrite").parquet(f"{to}/ingest_date={day}"))

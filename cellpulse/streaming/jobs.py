@@ -1,5 +1,7 @@
 """Scoring, ingest and counting jobs on message streams."""
 
+from datetime import timedelta
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,10 +11,13 @@ from cellpulse import schema
 from cellpulse.functions.scalar import decode
 from cellpulse.plans.alerts import evaluate_sla
 from cellpulse.plans.features import serving_features
-from cellpulse.sources.tables import conform
-from cellpulse.streaming.replay import message
+from cellpulse.sources.files import path_exists
+from cellpulse.sources.tables import batch_path, conform
+from cellpulse.session import small_table
+from cellpulse.streaming.messages import message
 
 BAD = "_bad"
+REPEAT_DAYS = 7  # a batch is repeated within a week of its first attempt
 
 
 def _as_text(record: StructType) -> StructType:
@@ -75,43 +80,64 @@ def start_scoring(messages: DataFrame, binary, multiclass, target: str, checkpoi
                   bad_target: str = None, **sink):
     """Score each raw message; unreadable ones go to ``bad_target`` and do not stop the job.
 
-    Progress counts appear as the observed metric ``scored`` of the query. Returns the queries.
+    ``bad_target`` is a folder, ``target`` with the ending ``-bad`` by default. ``progress`` reads
+    the counts of each batch off the first of the returned queries.
     """
     parsed = parse(messages, schema.RAW_RECORD)
     counted = score(good(parsed), binary, multiclass).observe(
         "scored", F.count(F.lit(1)).alias("rows"), F.sum("ml_prediction").alias("anomalies"))
     queries = [write_messages(counted, target, checkpoint, **sink)]
-    if bad_target:
-        queries.append(
-            bad(parsed).writeStream.format("text").option("checkpointLocation", checkpoint + "-bad")
-            .trigger(**(sink.get("trigger") or {"processingTime": "1 second"})).start(bad_target))
+    queries.append(
+        bad(parsed).writeStream.format("text").option("checkpointLocation", checkpoint + "-bad")
+        .trigger(**(sink.get("trigger") or {"processingTime": "1 second"}))
+        .start(bad_target or f"{target}-bad"))
     return queries
 
 
-_BATCH_SHIFT = 43  # batch number above, position in the batch below
+def progress(spark, query: StreamingQuery) -> DataFrame:
+    """Rows and anomalies of each reported batch of a scoring query (Spark keeps the last ones)."""
+    rows = []
+    for report in query.recentProgress:
+        seen = report.observedMetrics.get("scored")
+        if seen is not None:
+            rows.append((report.batchId, seen["rows"], seen["anomalies"] or 0))
+    return small_table(spark, "batch bigint, rows bigint, anomalies bigint", rows)
+
+
+def _day_of(spark, root: str, batch: int):
+    """Day under which a batch is stored: that of its first attempt, else today."""
+    today = spark.sql("SELECT current_date() AS d").first()["d"]
+    for back in range(REPEAT_DAYS):
+        day = today - timedelta(days=back)
+        if path_exists(spark, batch_path(root, day, batch)):
+            return day
+    return today
 
 
 def start_ingest(messages: DataFrame, paths: dict, thresholds: DataFrame, checkpoint: str,
                  trigger: dict = None) -> StreamingQuery:
     """Append scored records to the predictions table and their breaches to the alerts table.
 
-    Each micro-batch owns one ``batch_id`` folder per table and replaces it when it is run
-    again, so a retry leaves no double rows. Alerts are read off the stored predictions.
+    Each micro-batch owns one folder per table, under its day, and replaces it when it is run
+    again, so a retry leaves no double rows. ``id`` is unique within a batch; ``batch_id`` and
+    ``id`` name a record, whatever the number of batches and tasks. Unreadable messages are kept
+    under ``paths["bad"]``. Alerts are read off the stored predictions.
     """
-    records = good(parse(messages, schema.SCORED_RECORD)).drop("value")
+    records = parse(messages, schema.SCORED_RECORD)
 
     def store(batch: DataFrame, number: int):
-        spark = batch.sparkSession
-        place = f"{paths['predictions']}/batch_id={number + 1}"
-        rows = (conform(batch, schema.PREDICTIONS)
+        spark, name = batch.sparkSession, number + 1
+        day = _day_of(spark, paths["predictions"], name)
+        place = batch_path(paths["predictions"], day, name)
+        bad(batch).write.mode("overwrite").text(f"{paths['bad']}/batch_id={name}")
+        rows = (conform(good(batch).drop("value"), schema.PREDICTIONS)
                 .withColumn("timestamp", F.col("timestamp").try_cast("timestamp_ntz"))
-                .withColumn("id", F.lit((number + 1) << _BATCH_SHIFT)
-                            + F.monotonically_increasing_id())
+                .withColumn("id", F.monotonically_increasing_id())
                 .withColumn("ingested_at", F.localtimestamp()))
         rows.write.mode("overwrite").parquet(place)
         stored = spark.read.schema(schema.PREDICTIONS).parquet(place)
         (evaluate_sla(stored, thresholds).write.mode("overwrite")
-         .parquet(f"{paths['alerts']}/batch_id={number + 1}"))
+         .parquet(batch_path(paths["alerts"], day, name)))
     return (records.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "1 second"})).start())
 
@@ -126,7 +152,27 @@ def hourly_counts(records: DataFrame, delay: str = "1 hour") -> DataFrame:
 
 
 def start_hourly(records: DataFrame, target: str, checkpoint: str, delay: str = "1 hour",
-                 trigger: dict = None) -> StreamingQuery:
-    return (hourly_counts(records, delay).writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "1 second"})).start(target))
+                 trigger: dict = None, complete: bool = False) -> StreamingQuery:
+    """Write hourly counts to a folder.
+
+    By default closed hours are appended, and records later than ``delay`` are left out. With
+    ``complete``, every batch rewrites all hours, open ones and late records included; the state
+    is one row per hour and slice.
+    """
+    started = {"processingTime": "1 second"} if trigger is None else trigger
+    if not complete:
+        return (hourly_counts(records, delay).writeStream.format("parquet").outputMode("append")
+                .option("checkpointLocation", checkpoint).trigger(**started).start(target))
+
+    def rewrite(counts: DataFrame, number: int):
+        counts.write.mode("overwrite").parquet(f"{target}/batch_id={number}")
+    return (hourly_counts(records, delay).writeStream.outputMode("complete")
+            .foreachBatch(rewrite).option("checkpointLocation", checkpoint).trigger(**started)
+            .start())
+
+
+def read_hourly(spark, target: str) -> DataFrame:
+    """Counts of the newest complete rewrite."""
+    rows = spark.read.parquet(target)
+    newest = rows.agg(F.max("batch_id")).first()[0]
+    return rows.where(F.col("batch_id") == newest).drop("batch_id")

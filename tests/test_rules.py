@@ -91,7 +91,7 @@ def test_paging_limits(spark):
     with pytest.raises(ValueError):
         mo.predictions(df, limit=50_001)
     shallow = [r["id"] for r in mo.predictions(df, limit=2, offset=1).collect()]
-    deep = [r["id"] for r in mo.predictions(df, limit=2, offset=1, top_k_rows=0).collect()]
+    deep = [r["id"] for r in mo.predictions(df, limit=2, offset=1).collect()]
     assert shallow == deep == [3, 2]
 
 
@@ -229,3 +229,54 @@ def test_missing_fact_files_are_skipped(spark, tmp_path):
 def test_conform_pads_and_orders(spark):
     got = tables.conform(spark.createDataFrame([("c", 1)], "cell_id string, extra int"), schema.ALERTS)
     assert got.columns == schema.ALERTS.names and got.first()["cell_id"] == "c"
+
+
+def test_pages_take_null_keys(spark):
+    df = records(spark, [{}, {"timestamp": None}, {}, {"timestamp": None}])
+    pages = [[r["id"] for r in mo.predictions(df, limit=2, offset=o).collect()] for o in (0, 2)]
+    assert pages == [[2, 0], [3, 1]]
+    batch = files.row_batch(df, 1, 3, ["timestamp", "id"])
+    assert sorted(r["id"] for r in batch.collect()) == [0, 1, 3]
+
+
+def test_older_than_a_year_still_counts(spark):
+    df = records(spark, [{"ingested_at": T0 - timedelta(days=900), "ml_prediction": 1,
+                          "ml_anomaly_type": "overload"}, {}])
+    assert [r["count"] for r in mo.type_distribution(df).collect()] == [1]
+    head = mo.anomaly_head(df).first()
+    assert (head["total"], head["active_anomalies"], head["dominant_anomaly_type"]) == (
+        2, 1, "overload")
+
+
+def test_summaries_of_nothing(spark):
+    df = records(spark, [{}]).limit(0)
+    head = mo.anomaly_head(df).first()
+    assert (head["total"], head["active_anomalies"], head["affected_cells"]) == (0, 0, 0)
+    assert mo.health_totals(df, T0).first()["total_cells"] == 0
+    assert mo.value_counts(df, "cell_id").count() == 0
+
+
+def test_configured_slice_without_the_kpi_is_unknown(spark):
+    limits = al.thresholds_table(spark, {"eMBB": {"bler_percent": 5.0},
+                                         "URLLC": {"one_way_latency_ms": 10.0}})
+    df = records(spark, [{"one_way_latency_ms": 99.0 + i, "bler_percent": 1.0} for i in range(3)])
+
+    def status(**options):
+        rows = fc.forecast_status(df, ["one_way_latency_ms", "bler_percent"], limits, **options)
+        return {r["kpi"]: r["sla_status"] for r in rows.collect()}
+    assert status(slice_type="eMBB") == {"one_way_latency_ms": "unknown",
+                                         "bler_percent": "within_threshold"}
+    assert status() == {"one_way_latency_ms": "breach_predicted",
+                        "bler_percent": "within_threshold"}
+
+
+def test_normal_quantile_and_far_powers(spark):
+    from statistics import NormalDist
+
+    from cellpulse.functions.tails import normal_quantile
+    shares = [1e-7, 1e-4, 0.01, 0.0749, 0.0751, 0.3, 0.5, 0.92, 0.9251, 1 - 1e-7]
+    for share, got in zip(shares, normal_quantile(shares)):
+        assert got == pytest.approx(NormalDist().inv_cdf(share), rel=1e-9, abs=1e-14)
+    x = [(float((i / 400) ** (1 / 7)),) for i in range(1, 400)]
+    _, powers = fe.yeo_johnson_scaler(spark.createDataFrame(x, "x double"), ["x"])
+    assert powers["x"] > 2.2

@@ -5,26 +5,21 @@ import json
 from pyspark.sql import functions as F
 
 from cellpulse import schema
-from cellpulse.plans import alerts as al, features as fe, models as md, outliers as ou
+from cellpulse.plans import (
+    alerts as al, features as fe, models as md, monitoring as mo, outliers as ou)
 from cellpulse.sources import tables
 from cellpulse.sources.kpi_view import kpi_view, raw_records
 from cellpulse.streaming import jobs
-from cellpulse.streaming.replay import message, open_messages, replay
+from cellpulse.streaming.messages import message, open_messages
 
 NOW = {"availableNow": True}
 
 
-def test_replay_writes_ticks_in_order(spark, sf, tmp_path):
+def test_messages_keep_nulls_and_every_row(spark, sf, tmp_path):
     rows = raw_records(spark, sf).where("cell_id = 'gNB-001'").withColumn(
         "jitter_ms", F.when(F.col("jitter_ms") > 1, F.col("jitter_ms")))
-    out = str(tmp_path / "out")
-    ticks = replay(rows, out, F.date_trunc("week", "timestamp"))
-    assert ticks == 5
-    seen = []
-    for path in sorted((tmp_path / "out").glob("*.txt"), key=lambda p: p.stat().st_mtime_ns):
-        seen += [json.loads(line) for line in path.read_text().splitlines()]
-    weeks = [r["timestamp"][:10] for r in seen]
-    assert len(seen) == rows.count() and weeks == sorted(weeks)
+    seen = [json.loads(r["value"]) for r in message(rows).collect()]
+    assert len(seen) == rows.count()
     assert any(r["jitter_ms"] is None for r in seen) and set(seen[0]) == set(schema.RAW_RECORD.names)
 
 
@@ -67,7 +62,8 @@ def test_ingest_equals_batch_and_repeats_cleanly(spark, sf, tmp_path):
         jobs.start_ingest(open_messages(spark, source), paths, limits, str(tmp_path / log),
                           NOW).awaitTermination()
     stored = tables.read_table(spark, paths["predictions"], schema.PREDICTIONS)
-    assert stored.count() == scored.count() == stored.select("id").distinct().count()
+    keyed = tables.read_table(spark, paths["predictions"], schema.PREDICTIONS, partitions=True)
+    assert stored.count() == scored.count() == keyed.select("batch_id", "id").distinct().count()
     assert stored.where("ingested_at IS NULL").count() == 0
     breaches = tables.read_table(spark, paths["alerts"], schema.ALERTS)
     keys = ["alert_time", "cell_id", "slice_type", "kpi", "kpi_value", "threshold",
@@ -75,7 +71,67 @@ def test_ingest_equals_batch_and_repeats_cleanly(spark, sf, tmp_path):
     batch = al.evaluate_sla(kpi_view(spark, sf), limits).select(keys)
     assert breaches.select(keys).exceptAll(batch).count() == 0
     assert batch.exceptAll(breaches.select(keys)).count() == 0
-    assert breaches.count() == breaches.select("id").distinct().count()
+    keyed = tables.read_table(spark, paths["alerts"], schema.ALERTS, partitions=True)
+    assert breaches.count() == keyed.select("batch_id", "id").distinct().count()
+
+
+def test_bad_messages_and_counts_are_kept(spark, sf, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    good = [r["value"] for r in message(
+        kpi_view(spark, sf).select(schema.SCORED_RECORD.names).limit(5)).collect()]
+    (source / "a.txt").write_text("\n".join(good + ["{oops", "no json"]))
+    paths = tables.init_tables(spark, str(tmp_path / "tables"))
+    jobs.start_ingest(open_messages(spark, str(source)), paths, al.thresholds_table(spark),
+                      str(tmp_path / "log"), NOW).awaitTermination()
+    assert sorted(r["value"] for r in spark.read.text(paths["bad"]).collect()) == [
+        "no json", "{oops"]
+    stored = tables.read_table(spark, paths["predictions"], schema.PREDICTIONS, partitions=True)
+    assert stored.count() == 5
+    plan = mo.recent(stored, "2024-01-01 00:00:00")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan
+    day = stored.first()["ingest_date"]
+    tables.compact(spark, paths["predictions"], schema.PREDICTIONS, day, str(tmp_path / "closed"))
+    closed = tables.read_table(spark, str(tmp_path / "closed"), schema.PREDICTIONS, partitions=True)
+    assert closed.exceptAll(stored).count() == 0 and closed.count() == 5
+
+
+def test_ids_hold_for_late_batches_and_many_tasks(spark, sf, tmp_path):
+    """Record and alert keys of one batch over 1,100 tasks, and of a batch of a high number."""
+    limits = al.thresholds_table(spark)
+    rows = (kpi_view(spark, sf).select(schema.SCORED_RECORD.names).repartition(1100)
+            .withColumn("id", F.monotonically_increasing_id())
+            .withColumn("ingested_at", F.localtimestamp()))
+    alerts = al.evaluate_sla(rows, limits)
+    assert alerts.count() == alerts.select("id").distinct().count()
+    assert rows.agg(F.max("id")).first()[0] > 1000 << 33
+    place = tables.batch_path("root", "2024-01-01", 1 << 20)
+    assert place == "root/ingest_date=2024-01-01/batch_id=1048576"
+
+
+def test_complete_hours_hold_late_records(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    records = [("2024-01-01 10:05:00", 1), ("2024-01-03 10:05:00", 0), ("2024-01-01 10:55:00", 1)]
+    for i, (when, flag) in enumerate(records):
+        (source / f"{i}.txt").write_text(json.dumps(
+            {"timestamp": when, "slice_type": "eMBB", "ml_prediction": flag}))
+    stream = jobs.good(jobs.parse(open_messages(spark, str(source), files_per_trigger=1),
+                                  schema.SCORED_RECORD))
+    out = str(tmp_path / "out")
+    jobs.start_hourly(stream, out, str(tmp_path / "log"), trigger=NOW,
+                      complete=True).awaitTermination()
+    got = sorted((str(r["hour"]), r["anomaly_count"], r["total"])
+                 for r in jobs.read_hourly(spark, out).collect())
+    assert got == [("2024-01-01 10:00:00", 2, 2), ("2024-01-03 10:00:00", 0, 1)]
+
+
+def test_every_row_may_enter_a_tree(spark):
+    df = spark.range(60_000).select(F.col("id"), (F.col("id") % 97).cast("double").alias("x"))
+    nodes = ou.fit_isolation_forest(df, ["x"], "id", trees=3, sample=30_000)
+    assert {r["size"] for r in nodes if r["node"] == 0} == {30_000}
+    few = ou.fit_isolation_forest(df.limit(50), ["x"], "id", trees=3, sample=64)
+    assert {r["size"] for r in few if r["node"] == 0} == {50}
 
 
 def test_isolation_forest_prefers_far_points(spark):
