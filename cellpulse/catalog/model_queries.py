@@ -57,10 +57,10 @@ def ml_trainer(spark, sf):
 def ml_random_forest(spark, sf):
     """Tuned forests, and a regularised one on deduplicated rows without position and date."""
     train, test = _split(spark, sf)
-    binary = md.fit(md.random_forest(numTrees=30), train, ALL)
-    multi = md.fit(md.random_forest("y_type", numTrees=20), train, ALL)
+    binary = md.fit(md.random_forest(), train, ALL)
+    multi = md.fit(md.random_forest("y_type"), train, ALL)
     clean = train.dropDuplicates(["y", *STRICT])
-    strict = md.fit(md.random_forest(weight="weight", numTrees=20, maxDepth=6,
+    strict = md.fit(md.random_forest(weight="weight", numTrees=250, maxDepth=6,
                                      subsamplingRate=0.7, minInstancesPerNode=5),
                     md.balanced(clean, "y"), STRICT)
     return (_name(md.binary_scores(binary.transform(test)).select(*ev.METRICS), "binary")
@@ -71,7 +71,7 @@ def ml_random_forest(spark, sf):
 
 def ml_importances(spark, sf):
     train, _ = _split(spark, sf)
-    return rounded(md.importances(md.fit(md.random_forest(numTrees=20), train, ALL), ALL), 4)
+    return rounded(md.importances(md.fit(md.random_forest(), train, ALL), ALL), 4)
 
 
 def ml_gbt(spark, sf):
@@ -95,7 +95,7 @@ def ml_logistic(spark, sf):
     for name, model in fits.items():
         row = _name(md.binary_scores(model.transform(test)).select(*ev.METRICS), name)
         out = row if out is None else out.unionByName(row)
-    multi = md.fit(md.logistic(n, "y_type", maxIter=30), train, STRICT, scale=True)
+    multi = md.fit(md.logistic(n, "y_type"), train, STRICT, scale=True)
     return out.unionByName(_name(md.summary_scores(multi.transform(test), "y_type"), "multiclass"))
 
 
@@ -113,7 +113,7 @@ def ml_rbf_svm(spark, sf):
     scale = fe.standard_scaler(train, STRICT)
     lifted = [md.fourier_features(scale(d), STRICT, gamma=1.0 / len(STRICT))
               for d in (train, test)]
-    model = md.linear_svm(train.count(), maxIter=20).fit(materialise(
+    model = md.linear_svm(train.count(), maxIter=100).fit(materialise(
         lifted[0].select("y", "features"), "lifted"))
     return _name(md.binary_scores(model.transform(lifted[1])).select(*ev.METRICS), "rbf")
 
@@ -121,9 +121,9 @@ def ml_rbf_svm(spark, sf):
 def ml_cross_validate(spark, sf):
     """Scaler, projection and model searched together, fitted anew in each fold."""
     train, _ = _split(spark, sf)
-    model = md.logistic(train.count(), maxIter=20)
+    model = md.logistic(train.count())
     steps = md.stages(model, STRICT, scale=True, pca=4)
-    maps = md.random_grid({model.regParam: [0.0, 0.001, 0.01], steps[2].k: [3, 5]}, 4)
+    maps = md.random_grid({model.regParam: [0.0, 0.001, 0.01], steps[2].k: [3, 5]}, 6)
     table, _ = md.cross_validate(train, Pipeline(stages=steps), maps, "y", "id", k=3)
     return rounded(table, 4)
 
@@ -131,7 +131,7 @@ def ml_cross_validate(spark, sf):
 def eval_learning_curve(spark, sf):
     train, test = _split(spark, sf)
     return rounded(md.learning_curve(
-        train, test, lambda: md.decision_tree(maxDepth=5), STRICT, "y", "id", [0.1, 0.4, 1.0]), 4)
+        train, test, lambda: md.decision_tree(maxDepth=5), STRICT, "y", "id", [i / 10 for i in range(1, 11)]), 4)
 
 
 def ml_save_load(spark, sf):
@@ -245,7 +245,7 @@ def ml_gmm(spark, sf):
     df = _kpi_vectors(spark, sf).select("scaled")
     model, _ = ou.fit_pca(df, "scaled", k=3)
     plane = materialise(model.transform(df).select(F.col("projected").alias("features")), "plane")
-    _, table = cl.gaussian_mixture(plane, 9, max_iter=15)
+    _, table = cl.gaussian_mixture(plane, 9)
     return rounded(table, 3)
 
 

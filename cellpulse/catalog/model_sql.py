@@ -1,6 +1,7 @@
 """SQL for model queries with a closed form."""
 
 from cellpulse.catalog.kpi_sql import with_kpi
+from cellpulse.plans import features as fe
 
 _SHAPED = ["one_way_latency_ms", "throughput_dl_mbps", "handover_success_rate_percent"]
 _SPLIT = ("split AS (SELECT *, rn <= floor(n_c * 8 / 10.0) AS train FROM (SELECT *, row_number() "
@@ -12,20 +13,22 @@ _T = ("CASE WHEN v >= 0 THEN CASE WHEN abs(lam) < 1e-9 THEN ln(1 + abs(v)) ELSE
 
 
 def _best(source: str) -> str:
+    held = f"CASE WHEN abs(t) < {fe.LARGEST!r}::DOUBLE THEN t END"
     return (f"SELECT name, arg_max(lam, score) AS lam FROM (SELECT name, lam, "
-            "-count(*) / 2.0::DOUBLE * ln(var_pop(t)) + (lam - 1) * sum(sign(v) * ln(1 + abs(v))) "
+            f"CASE WHEN count({held}) = count(*) AND var_pop({held}) > 0 THEN "
+            f"-count(*) / 2.0::DOUBLE * ln(var_pop({held})) "
+            "+ (lam - 1) * sum(sign(v) * ln(1 + abs(v))) END "
             f"AS score FROM (SELECT name, lam, v, {_T} AS t FROM ({source})) GROUP BY name, lam) "
-            "GROUP BY name")
+            "WHERE score IS NOT NULL GROUP BY name")
 
 
 _LONG = "long AS (" + " UNION ALL ".join(
     f"SELECT id, train, '{c}' AS name, {c} AS v FROM split" for c in _SHAPED) + ")"
-_COARSE = "coarse AS (" + _best(
-    "SELECT name, v, round(-2 + 0.2::DOUBLE * i, 1) AS lam FROM long, "
-    "(SELECT unnest(range(21)) AS i) WHERE train") + ")"
-_FINE = "fine AS (" + _best(
-    "SELECT long.name, v, round(coarse.lam + 0.02::DOUBLE * i, 2) AS lam FROM long JOIN coarse "
-    "ON long.name = coarse.name, (SELECT unnest(range(-9, 10)) AS i) WHERE train") + ")"
+_CENTRE = "grid0 AS (SELECT DISTINCT name, 0.0::DOUBLE AS lam FROM long)"
+_GRIDS = [f"grid{n + 1} AS (" + _best(
+    f"SELECT long.name, v, round(g.lam + {step}::DOUBLE * i, 2) AS lam FROM long JOIN grid{n} g "
+    f"ON long.name = g.name, (SELECT unnest(range(-{reach}, {reach + 1})) AS i) WHERE train") + ")"
+    for n, (step, reach) in enumerate(fe.POWER_GRIDS)]
 
 MODEL_SQL = {
     "ml_save_load": with_kpi(
@@ -37,6 +40,6 @@ MODEL_SQL = {
         + " FROM (SELECT id, name, CASE WHEN train THEN 'train' ELSE 'test' END AS part, "
         "round((t - avg(t) FILTER (train) OVER (PARTITION BY name)) / "
         "stddev_pop(t) FILTER (train) OVER (PARTITION BY name), 4) AS z FROM "
-        f"(SELECT id, long.name, train, {_T} AS t FROM long JOIN fine ON long.name = fine.name)) "
-        "GROUP BY id, part", _SPLIT, _LONG, _COARSE, _FINE),
+        f"(SELECT id, long.name, train, {_T} AS t FROM long JOIN grid{len(_GRIDS)} g ON long.name = g.name)) "
+        "GROUP BY id, part", _SPLIT, _LONG, _CENTRE, *_GRIDS),
 }

@@ -11,7 +11,9 @@ from cellpulse.session import small_broadcast, small_table
 
 
 def kmeans(df: DataFrame, k: int = 9, seed: int = 42, **params):
-    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster", **params).fit(df)
+    options = {"maxIter": 300, **params}  # stops earlier once the centres rest
+    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster",
+                  **options).fit(df)
 
 
 def elbow(df: DataFrame, ks=range(2, 11), seed: int = 42) -> DataFrame:

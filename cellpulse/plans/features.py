@@ -101,23 +101,28 @@ def yeo_johnson(x, power):
     return F.when(x >= 0, up).otherwise(down)
 
 
+POWER_GRIDS = ((5.0, 20), (0.5, 10), (0.05, 10), (0.01, 5))  # step, candidates on each side
+LARGEST = 1e150  # its square still is a number
+
+
 def _best_powers(long: DataFrame) -> dict:
     """Power of highest likelihood per column; the rows carry their candidates in ``lam``."""
     x = F.col("value")
     fits = (long.withColumn("t", yeo_johnson(x, F.col("lam"))).groupBy("name", "lam")
             .agg(F.count("t").alias("n"), F.var_pop("t").alias("v"),
+                 F.max(F.abs("t")).alias("top"),
                  F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("s")))
-    score = F.when(F.col("v") > 0, -F.col("n") / 2 * F.log("v") + (F.col("lam") - 1) * F.col("s"))
+    score = F.when((F.col("v") > 0) & (F.col("top") < LARGEST), -F.col("n") / 2 * F.log("v") + (F.col("lam") - 1) * F.col("s"))
     best = (fits.withColumn("score", score).where(F.col("score").isNotNull()).groupBy("name")
             .agg(F.max_by("lam", "score").alias("lam")))
     return {r["name"]: r["lam"] for r in best.collect()}  # one row per column
 
 
 def yeo_johnson_scaler(train: DataFrame, columns: list):
-    """Powers by a coarse and a fine grid search on the training rows, then standard scaling.
+    """Powers by ever finer grids on the training rows, then standard scaling.
 
-    A coarse grid whose end fits best is moved there and searched again, so no power is out of
-    reach.
+    A first grid whose end fits best is moved there and searched again, so no power is out of
+    reach but those that carry values beyond ``LARGEST``.
     """
     columns = list(columns)
     long = train.select(*columns).unpivot([], columns, "name", "value").where("value IS NOT NULL")
@@ -129,13 +134,14 @@ def yeo_johnson_scaler(train: DataFrame, columns: list):
         centre = F.element_at(F.create_map(*pairs), F.col("name"))
         grid = F.explode(F.array(*[F.round(centre + step * i, 2) for i in range(-reach, reach + 1)]))
         return _best_powers(long.where(F.col("name").isin(list(centres))).withColumn("lam", grid))
-    start, open_ = {}, dict.fromkeys(columns, 0.0)
+    step, reach = POWER_GRIDS[0]
+    powers, open_ = {}, dict.fromkeys(columns, 0.0)
     while open_:
-        found = search(open_, 0.2, 10)
-        start.update(found)
-        # Likelihood is not worth following where powers overflow.
-        open_ = {c: lam for c, lam in found.items() if abs(lam - open_[c]) > 1.9 and abs(lam) < 60}
-    powers = search(start, 0.02, 9)
+        found = search(open_, step, reach)
+        powers.update(found)
+        open_ = {c: lam for c, lam in found.items() if abs(lam - open_[c]) > step * (reach - 0.5)}
+    for step, reach in POWER_GRIDS[1:]:
+        powers = search(powers, step, reach)
 
     def warp(df: DataFrame) -> DataFrame:
         return df.withColumns({c: yeo_johnson(F.col(c), powers[c]) for c in columns

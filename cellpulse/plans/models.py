@@ -30,7 +30,7 @@ def decision_tree(label="y", weight=None, **params):
 
 
 def random_forest(label="y", weight=None, **params):
-    options = {"numTrees": 100, "maxDepth": 10, "featureSubsetStrategy": "sqrt",
+    options = {"numTrees": 150, "maxDepth": 10, "featureSubsetStrategy": "sqrt",
                "subsamplingRate": 1.0, "maxBins": BINS, "seed": 42, **params}
     return _weighted(RandomForestClassifier(labelCol=label, **options), weight)
 
@@ -45,7 +45,7 @@ def gradient_boosting(label="y", classes=2, **params):
 
 def logistic(n_rows: int, label="y", c=1.0, penalty="l2", weight=None, **params):
     """Inverse strength ``c`` over summed losses equals regParam 1 / (c * n) over the mean."""
-    options = {"maxIter": 100, **params}
+    options = {"maxIter": 1000, **params}  # stops earlier at its tolerance
     return _weighted(LogisticRegression(
         labelCol=label, regParam=1.0 / (c * n_rows),
         elasticNetParam=1.0 if penalty == "l1" else 0.0, **options), weight)
