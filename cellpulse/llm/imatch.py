@@ -27,7 +27,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from cellpulse.llm.text import BLANKS, whole
+from cellpulse.llm.text import BLANKS, bitmap, in_bitmap, whole
 
 DENSE, SPARSE, SPARSE_RATE = 8, 56, 16
 CELLS = 1 << 22
@@ -55,24 +55,13 @@ def lexicon(docs: DataFrame, lowest: float = LOWEST_SHARE, highest: float = HIGH
     held = (docs.select(F.explode(term_hashes(F.col("text"))).alias("h"))
             .groupBy("h").agg(F.count(F.lit(1)).alias("n"))
             .where((F.col("n") >= max(least, lowest * total)) & (F.col("n") <= highest * total)))
-    cell = F.col("h").bitwiseAND(F.lit(CELLS - 1))
-    spots = held.select(
-        F.shiftright(cell, 6).alias("word"),
-        F.expr("shiftleft(1L, CAST(h & 63 AS INT))").alias("bit"))
-    filled = spots.union(docs.sparkSession.range(CELLS >> 6).select(
-        F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bit")))
-    packed = filled.groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    # A fixed number of rows, whatever the corpus.
-    return packed.agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda s: s["bits"])
-        .alias("bitmap"))
-
-
-def fingerprint(text: Column, bitmap: Column) -> Column:
+    return bitmap(held, CELLS)
+
+
+def fingerprint(text: Column, bits: Column) -> Column:
     """The 64 subset hashes of a text."""
     def known(h):
-        word = F.get(bitmap, F.shiftright(h.bitwiseAND(F.lit(CELLS - 1)), 6).cast("int"))
-        return F.getbit(word, h.bitwiseAND(F.lit(63)).cast("int")) == 1
+        return in_bitmap(h, bits, CELLS)
 
     def code(hashes, seed):
         return (F.pmod(F.xxhash64(hashes, F.lit(seed)), F.lit(65535)) + 1).cast("int")
@@ -167,8 +156,8 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """Fingerprints of all texts and of the texts whose last ``1 / share`` is replaced by the
     beginning of the next document."""
     slim = docs.select(F.col(f"`{key}`").alias("doc_id"), whole(f"`{text}`").alias("text"))
-    with _shared_value(slim.sparkSession, "ARRAY<BIGINT>", lexicon(slim)) as bitmap:
-        return _compared(slim, bitmap, share)
+    with _shared_value(slim.sparkSession, "ARRAY<BIGINT>", lexicon(slim)) as bits:
+        return _compared(slim, bits, share)
 
 
 @contextmanager
@@ -185,7 +174,7 @@ def _shared_value(spark: SparkSession, kind: str, row: DataFrame):
         spark.catalog.dropTempView(name)
 
 
-def _compared(slim: DataFrame, bitmap: Column, share: int) -> DataFrame:
+def _compared(slim: DataFrame, bits: Column, share: int) -> DataFrame:
     order = Window.partitionBy("_range").orderBy("_guest", "_order", "_tie")
     size = F.char_length("text")
     cut = F.floor(size / share).cast("int")
@@ -196,8 +185,8 @@ def _compared(slim: DataFrame, bitmap: Column, share: int) -> DataFrame:
     marked = edited.select(
         "doc_id", "_range", "_guest", "_order", "_tie", size.cast("bigint").alias("n_chars"),
         F.sha2("_edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("text"), bitmap).alias("_own"),
-        F.when(~F.col("_guest"), fingerprint(F.col("_edited"), bitmap)).alias("_changed"))
+        fingerprint(F.col("text"), bits).alias("_own"),
+        F.when(~F.col("_guest"), fingerprint(F.col("_edited"), bits)).alias("_changed"))
     return (marked.withColumn("_after", F.lead("_own").over(order))
             .where(~F.col("_guest")).select(
                 "doc_id", "n_chars", "edited_sha256", as_text(F.col("_own")).alias("fingerprint"),

@@ -30,10 +30,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from cellpulse.llm.text import bitmap, in_bitmap
 from cellpulse.operators.density import connected
 from cellpulse.session import materialise
 
 
+MOST_CELLS = 1 << 27  # bits
+
+
 @dataclass(frozen=True)
 class Settings:
     shingle: int = 4
@@ -328,8 +332,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text",
                                                   "a bigint, b bigint, round int"))
     pairs = _likely(pairs.groupBy("a", "b").agg(F.min("round").alias("round")), leads, s)
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = materialise(slim.join(nodes, "doc_id", "left_semi").where("text IS NOT NULL"),
-                        "texts")
+    texts = materialise(_texts_of(slim, materialise(nodes, "nodes")), "texts")
     links = confirmed(pairs.where("round = 1").select("a", "b"), texts, s)
     labels = _labelled(leads, links)
     # Round two: neighbours in sorted order that round one left in different groups.
@@ -347,6 +350,21 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         F.coalesce(F.col("doc_id") == F.coalesce("label", "doc_id"), F.lit(True)).alias("kept"))
 
 
+def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Texts of the documents named in ``nodes``.
+
+    A bitmap of the ids, sixteen bits an id and ``MOST_CELLS`` at most, keeps most other texts
+    out of the shuffle.
+    """
+    cells = 1 << 16
+    wanted = min(MOST_CELLS, 16 * nodes.count())
+    while cells < wanted:
+        cells *= 2
+    bits = bitmap(nodes.select(F.xxhash64("doc_id").alias("h")), cells).scalar()
+    near = docs.where(F.col("text").isNotNull() & in_bitmap(F.xxhash64("doc_id"), bits, cells))
+    return near.join(nodes, "doc_id", "left_semi")
+
+
 def _labelled(leads: DataFrame, links: DataFrame) -> DataFrame:
     """Stored label of every class representative under the links."""
     return materialise(leads.select("node").distinct().join(

@@ -26,6 +26,22 @@ def words(text: Column) -> Column:
     return F.filter(F.split(even, " "), lambda w: w != "")
 
 
-def text_columns(df: DataFrame, columns: dict) -> DataFrame:
-    """Only the wanted columns under the operator's own names, whatever else the table holds."""
-    return df.select([F.col(f"`{source}`").alias(name) for name, source in columns.items()])
+def bitmap(hashes: DataFrame, cells: int) -> DataFrame:
+    """One row with ``cells`` bits as an array ``bitmap`` of 64-bit words; ``cells`` is a power
+    of two. The bits of all hashes ``h`` are set, so the size is fixed, whatever the rows.
+    """
+    cell = F.col("h").bitwiseAND(F.lit(cells - 1))
+    spots = hashes.select(F.shiftright(cell, 6).alias("word"),
+                          F.expr("shiftleft(1L, CAST(h & 63 AS INT))").alias("bit"))
+    empty = hashes.sparkSession.range(cells >> 6).select(
+        F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bit"))
+    packed = spots.union(empty).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    return packed.agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda s: s["bits"])
+        .alias("bitmap"))
+
+
+def in_bitmap(h: Column, bits: Column, cells: int) -> Column:
+    """Whether the bit of a hash is set; other hashes may share it."""
+    word = F.get(bits, F.shiftright(h.bitwiseAND(F.lit(cells - 1)), 6).cast("int"))
+    return F.getbit(word, h.bitwiseAND(F.lit(63)).cast("int")) == 1
