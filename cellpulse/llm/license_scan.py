@@ -21,7 +21,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
 
 UNKNOWN = "unknown"
-SAMPLE = 400        # documents whose paragraphs serve as negatives
+SAMPLE = 2000       # paragraphs of the corpus that serve as negatives
 MIN_SCORE, MIN_SHARE = 0.5, 0.6
 
 # Customary license notices by family.
@@ -159,14 +159,14 @@ class LicenseModel:
 
 
 def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> LicenseModel:
-    """Train on the templates and a bounded sample of the corpus."""
+    """Train on the templates and the ``sample`` paragraphs of smallest hash."""
     spark = docs.sparkSession
-    chosen = (docs.select(F.col(f"`{text}`").alias("text")).where("text IS NOT NULL")
-              .select(F.substring("text", 1, 20_000).alias("text"),
-                      F.xxhash64("text").alias("place"))
-              .orderBy("place", "text").limit(sample).collect())
-    negatives = [line for r in chosen for line in r["text"].split("\n") if line.strip()]
-    rows = training_rows(negatives[:10 * sample])
+    chosen = (docs.select(F.xxhash64(f"`{text}`").alias("text"),
+                          F.explode(F.split(f"`{text}`", "\n")).alias("line"))
+              .where(F.trim("line") != "")
+              .select("line", F.xxhash64("text", "line").alias("place"))
+              .orderBy("place", "line").limit(sample).collect())
+    rows = training_rows([r["line"] for r in chosen])
     families = sorted({f for f, _ in rows})
     seen = {}
     for family, words in rows:
