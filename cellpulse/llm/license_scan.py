@@ -159,12 +159,18 @@ class LicenseModel:
 
 
 def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> LicenseModel:
-    """Train on the templates and the ``sample`` paragraphs of smallest hash."""
+    """Train on the templates and the ``sample`` paragraphs of smallest hash.
+
+    A bound on the hash leaves about ``sample`` times the paragraphs of a document before the
+    tasks send their smallest to the driver, whatever the size of the corpus.
+    """
     spark = docs.sparkSession
+    share = min(1.0, sample / max(docs.count(), 1))
+    place = F.pmod(F.xxhash64("text", "line"), F.lit(1 << 40))
     chosen = (docs.select(F.xxhash64(f"`{text}`").alias("text"),
                           F.explode(F.split(f"`{text}`", "\n")).alias("line"))
-              .where(F.trim("line") != "")
-              .select("line", F.xxhash64("text", "line").alias("place"))
+              .select("line", place.alias("place"))
+              .where((F.col("place") <= int(share * (1 << 40))) & (F.trim("line") != ""))
               .orderBy("place", "line").limit(sample).collect())
     rows = training_rows([r["line"] for r in chosen])
     families = sorted({f for f, _ in rows})
