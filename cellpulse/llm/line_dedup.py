@@ -10,7 +10,9 @@ needs a cap for runs that thousands of documents hold.
 A pair is aligned by patience diff on its common lines: lines unique in both documents, longest
 increasing sequence, then the same between two matches, and equal neighbours at both ends.
 Common blocks, runs of matched lines adjacent in both documents, are deleted from the later
-document if they hold ``min_words`` words.
+document if they hold ``min_words`` words. One alignment leaves passages in another order and
+second copies; the rest of the later document is searched for every run of ``min_words`` words
+that the earlier one holds, and these blocks go too.
 
 Lines are compared by the 128-bit hash of their words; lines without a word do not count and go
 with the block around them. Null text has no lines and stays null. Rows that repeat an id are
@@ -141,20 +143,65 @@ def common_blocks(later: list, earlier: list, min_words: int) -> list:
     """(first raw, last raw, words) of blocks to delete from the later document.
 
     Both sides list the common lines in order: ``later`` as (position, hash, raw, words),
-    ``earlier`` as (position, hash). Matches whose positions step by one form a block.
+    ``earlier`` as (position, hash). Matches whose positions step by one form a block. What the
+    alignment leaves of the later document is searched for runs of the earlier one.
     """
-    matches = patience([x[1] for x in later], [x[1] for x in earlier])
     blocks, last = [], None
-    for i, j in matches:
-        at, _, raw, w = later[i]
-        spot = earlier[j][0]
+    for i, j in patience([x[1] for x in later], [x[1] for x in earlier]):
+        at, spot = later[i][0], earlier[j][0]
         if last and at == last[0] + 1 and spot == last[1] + 1:
-            first, _, held = blocks[-1]
-            blocks[-1] = (first, raw, held + w)
+            blocks[-1].append(later[i])
         else:
-            blocks.append((raw, raw, w))
+            blocks.append([later[i]])
         last = at, spot
-    return [b for b in blocks if b[2] >= min_words]
+    blocks = [b for b in blocks if sum(x[3] for x in b) >= min_words]
+    gone = {x[0] for b in blocks for x in b}
+    blocks += moved_blocks([x for x in later if x[0] not in gone], earlier, min_words)
+    return sorted((b[0][2], b[-1][2], sum(x[3] for x in b)) for b in blocks)
+
+
+def _run_end(lines: list, words: list, start: int, min_words: int) -> int:
+    """End of the shortest run of adjacent lines from ``start`` with ``min_words``, or 0."""
+    held = 0
+    for end in range(start, len(lines)):
+        if lines[end][0] != lines[start][0] + end - start:
+            return 0
+        held += words[end]
+        if held >= min_words:
+            return end + 1
+    return 0
+
+
+def moved_blocks(left: list, earlier: list, min_words: int) -> list:
+    """Blocks of ``left`` that the earlier document holds anywhere: moved or repeated ones.
+
+    No run of ``min_words`` that both hold remains outside the blocks.
+    """
+    words = [x[3] for x in left]
+    ends = [_run_end(left, words, i, min_words) for i in range(len(left))]
+    if not any(ends):
+        return []
+    size = {x[1]: x[3] for x in left}
+    words = [size.get(h, min_words) for _, h in earlier]
+    spots = {}
+    for j in range(len(earlier)):
+        end = _run_end(earlier, words, j, min_words)
+        if end:
+            spots.setdefault(tuple(h for _, h in earlier[j:end]), j)
+    blocks, i = [], 0
+    while i < len(left):
+        j = spots.get(tuple(x[1] for x in left[i:ends[i]])) if ends[i] else None
+        if j is None:
+            i += 1
+            continue
+        first, shift = i, j - i
+        i, step = ends[i], earlier[j][0] - left[i][0]
+        while (i < len(left) and i + shift < len(earlier) and left[i][0] == left[i - 1][0] + 1
+               and left[i][1] == earlier[i + shift][1]
+               and earlier[i + shift][0] == left[i][0] + step):
+            i += 1
+        blocks.append(left[first:i])
+    return blocks
 
 
 def deletions(found: DataFrame, pairs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -55,3 +55,34 @@ def test_stage_keeps_columns_and_drops_emptied(docs, no_docs):
     assert 111 not in ids and 7 in ids and 126 in ids and ids.count(5) == 2
     assert all(r["n_chars"] == len(r["text"] or "") for r in rows)
     assert m.without_repeats(no_docs).count() == 0
+
+
+def _passage(name, lines=4):
+    return "\n".join(" ".join(f"{name}{k}x{j}" for j in range(10)) for k in range(lines))
+
+
+def test_swapped_and_repeated_passages_go(spark):
+    p, q = _passage("p"), _passage("q")
+    rows = [(1, f"{p}\nown one\n{q}"), (2, f"{q}\nown two\n{p}"), (3, f"{p}\nown three\n{p}"),
+            (4, f"p0x0\n{p}\n{p}\n{q}\nown four\n{q}\n{p}")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["text"] for r in m.dedup(frame).collect()}
+    assert got == {1: rows[0][1], 2: "own two", 3: "own three", 4: "p0x0\nown four"}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=25), st.lists(st.integers(0, 4), max_size=25))
+def test_no_common_run_remains(a, b):
+    shared = set(a) & set(b)
+    later = [(i, h, i, 1 + h % 2) for i, h in enumerate(a) if h in shared]
+    earlier = [(i, h) for i, h in enumerate(b) if h in shared]
+    cuts = m.common_blocks(later, earlier, 3)
+    gone = [i for first, last, _ in cuts for i in range(first, last + 1)]
+    assert len(gone) == len(set(gone))
+    held = {tuple(b[i:k]) for i in range(len(b)) for k in range(i + 1, len(b) + 1)}
+    for i in range(len(a)):
+        for k in range(i + 1, len(a) + 1):
+            if sum(1 + h % 2 for h in a[i:k]) >= 3 and not set(gone) & set(range(i, k)):
+                assert tuple(a[i:k]) not in held
+    for first, last, words in cuts:
+        assert tuple(a[first:last + 1]) in held and words >= 3
