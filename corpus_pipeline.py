@@ -19,8 +19,8 @@ def unrepeated_lines(spark, docs, sf_dir):
 
 
 def distinct_documents(spark, docs, sf_dir):
-    """One document of each group of near copies."""
-    return near_dedup.one_per_group(docs)
+    """One document of each group of near copies, by shingles of five words."""
+    return near_dedup.one_per_group(docs, settings=near_dedup.Settings(shingle=5))
 
 
 def mixed_sources(spark, docs, sf_dir):

@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -38,6 +39,32 @@ def test_every_stage_acts_and_keeps_clean_documents(spark, docs, records, tmp_pa
     assert sorted(pieces["ids_crc32"]) == sorted(sums)
 
 
+def test_near_copies_are_judged_by_five_words(spark, docs):
+    words = [f"w{i}" for i in range(80)]
+    near = [*words[:20], "x", *words[21:50], "y", *words[51:]]      # 69/85 by four, 66/86 by five
+    nearer = [*words[:20], "z", *words[21:]]
+    frame = spark.createDataFrame(
+        [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(nearer))],
+        "doc_id bigint, text string").union(docs.select("doc_id", "text").where("doc_id >= 10"))
+    sets = {r["doc_id"]: r["text"] for r in frame.collect()}
+    got = {r["doc_id"] for r in corpus_pipeline.distinct_documents(spark, frame, None).collect()}
+    assert got == {i for i, root in by_five_words(sets).items() if i == root}
+    assert {1, 2} <= got and 3 not in got
+
+
+def by_five_words(texts):
+    sets, group = {}, {i: i for i in texts}
+    for i, text in texts.items():
+        parts = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        sets[i] = {tuple(parts[k:k + 5]) for k in range(max(1, len(parts) - 4))} if parts else set()
+    for i, p in sets.items():
+        for j, q in sets.items():
+            if i < j and p and q and 100 * len(p & q) >= 80 * len(p | q) and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = {k: low if g == high else g for k, g in group.items()}
+    return group
+
+
 def test_queries_are_registered():
     names = entry.queries()
     assert "pipeline" in names
