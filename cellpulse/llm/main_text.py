@@ -37,7 +37,8 @@ VOID = frozenset("br hr img input meta link area base col embed source track wbr
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|title)(?=[\s/>])"
+    r"|<(script|style|noscript|template|iframe|object|title|"
+    r"""svg(?!(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*+(?<=/)>))(?=[\s/>])"""   # not <svg .../>
     r"""(?:[^>"']|"[^"]*"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"""
     r"|<[!?][^>]*(?:>|\Z)"
     r"""|</?([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>"""
