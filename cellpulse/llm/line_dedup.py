@@ -24,11 +24,9 @@ from bisect import bisect_left
 
 from pyspark.sql import DataFrame, functions as F
 
-from cellpulse.llm.text import whole, words
 from cellpulse.session import materialise
 
 MIN_WORDS = 30
-MIN_LEFT = 0.2
 _LINES = ("doc bigint, tie bigint, at int, raw int, h1 bigint, h2 bigint, w int, "
           "r1 bigint, r2 bigint")
 
@@ -281,19 +279,17 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 
 def without_repeats(docs: DataFrame, text: str = "text", n_chars: str = "n_chars",
-                    min_left: float = MIN_LEFT, **options) -> DataFrame:
+                    **options) -> DataFrame:
     """The documents without passages that an earlier one holds; columns unchanged.
 
-    A document that keeps less than ``min_left`` of its words is a copy and dropped; ``n_chars``
-    follows the text.
+    A document whose every word went is a copy and dropped; ``n_chars`` follows the text.
     """
-    mark, before = "_cut_lines", "_words"
-    while {mark, before} & set(docs.columns):
-        mark, before = "_" + mark, "_" + before
-    counted = docs.withColumn(before, F.size(words(whole(f"`{text}`"))))
-    out = dedup(counted, text=text, cut_lines=mark, **options)
+    mark = "_cut_lines"
+    while mark in docs.columns:
+        mark = "_" + mark
+    out = dedup(docs, text=text, cut_lines=mark, **options)
     cut = F.col(f"`{mark}`") > 0
-    left = F.size(words(whole(f"`{text}`"))) >= min_left * F.col(f"`{before}`")
+    left = F.col(f"`{text}`") != ""
     size = F.when(cut, F.char_length(F.col(f"`{text}`"))).otherwise(F.col(f"`{n_chars}`"))
     return out.where(~cut | left).select(
         *[size.cast(kind).alias(n) if n == n_chars else F.col(f"`{n}`") for n, kind in docs.dtypes])

@@ -86,3 +86,11 @@ def test_no_common_run_remains(a, b):
                 assert tuple(a[i:k]) not in held
     for first, last, words in cuts:
         assert tuple(a[first:last + 1]) in held and words >= 3
+
+
+def test_own_words_stay_however_few(spark):
+    long = _passage("p", 40)
+    rows = [(1, long, 0), (2, f"{long}\nown words", 0), (3, f"{long}\n \n", 0)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint")
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in m.without_repeats(frame).collect()}
+    assert got == {1: (long, 0), 2: ("own words", 9)}
