@@ -3,8 +3,8 @@
 Lines are normalised (lower case, blanks and digits reduced) and hashed. Per host, the number
 of distinct documents that hold a line is counted; exact copies of a text count as one document,
 so that copies do not make each other's lines look like boilerplate. A line held by more than
-``max_documents`` of them and by more than ``max_share`` of the host's distinct documents is
-boilerplate and removed. A document is rejected if fewer than ``min_left`` of its words remain.
+``max_documents`` of them, or by more than ``max_share`` of the host's distinct documents and
+``LEAST_DOCUMENTS`` at least, is boilerplate and removed. A document is rejected if fewer than ``min_left`` of its words remain.
 
 One pass over the texts stores per document the base figures and its line hashes; everything
 after that works on hashes. Line hashes are made distinct inside a document and counted map-side,
@@ -25,6 +25,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MAX_DOCUMENTS = 50
 MAX_SHARE = 0.02
+LEAST_DOCUMENTS = 3
 MIN_LEFT = 0.5
 
 
@@ -103,9 +104,10 @@ def judge(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str
     # A host's documents are its texts; its size goes with the counts of its lines.
     counts = (distinct.select("host", F.explode("hashes").alias("h"))
               .groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))
-              .where(F.col("n") > max_documents))
+              .where(F.col("n") >= min(LEAST_DOCUMENTS, max_documents + 1)))
     common = (counts.join(sizes, counts["host"].eqNullSafe(sizes["host"]))
-              .where(F.col("n") > max_share * F.col("documents"))
+              .where((F.col("n") > max_documents) | (F.col("n") >= LEAST_DOCUMENTS)
+                     & (F.col("n") > max_share * F.col("documents")))
               .select(counts["host"].alias("_host"), F.col("h").alias("_h")))
 
     lines = rows.select("_row", "host", F.explode("_marks").alias("m")).select(

@@ -55,6 +55,22 @@ def test_common_lines_deplete_but_copies_do_not(spark):
     assert {1000, 1299, 5000, 5001} <= kept
 
 
+def test_small_and_hot_hosts_lose_their_footers(spark):
+    def page(i, footer):
+        own = "\n".join(" ".join(named(i % 676, i // 676, k, j) for j in range(8)) for k in range(3))
+        return own + "\n" + "\n".join(" ".join(f"{footer}{named(k, j)}" for j in range(12))
+                                      for k in range(3)) if footer else own
+    rows = [(i, page(i, "small"), "small") for i in range(40)]
+    rows += [(1000 + i, page(i, "hot" if i < 60 else ""), "hot") for i in range(6000)]
+    rows += [(9000 + i, page(i, "pair" if i < 2 else ""), "few") for i in range(10)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    out = {r["doc_id"]: r for r in m.judge(frame).collect()}
+    gone = {i for i, r in out.items() if r["n_common_words"]}
+    assert gone == {*range(40), *range(1000, 1060)}
+    assert all(out[i]["n_common_words"] == 36 and not out[i]["kept"] for i in gone)
+    assert all(r["kept"] for i, r in out.items() if i not in gone)
+
+
 def test_no_python_in_the_plan(docs):
     plan = m.base_figures(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text")),
                           ["doc_id"])._jdf.queryExecution().toString()
