@@ -1,15 +1,18 @@
 """License scans: a trained paragraph classifier with template comparison.
 
-Paragraphs (lines with a word) become counts of word n-grams of one to three words from a
-vocabulary learned from the training rows. A sparse multinomial logistic regression names the
+Paragraphs are runs of lines that are not blank. Each line of a paragraph is classified, and so is
+every window of its words, across lines, that holds ``min_share`` of a template's word pairs: a
+notice wrapped over lines or inside a long paragraph is seen whole. Texts become counts of word
+n-grams of one to three words from a vocabulary learned from the training rows. A sparse multinomial logistic regression names the
 license family or ``unknown``. Training rows are the templates below with words dropped, cut and
 surrounded by rule, hand-written sentences that only mention licenses, and a bounded sample of
-paragraphs of the corpus (parameter ``sample``) without a template's wording as ``unknown``.
+lines of the corpus (parameter ``sample``) without half a confirmed template's wording as
+``unknown``.
 A temperature fitted on rows kept out of training calibrates the probabilities; a prediction
 counts if it is not ``unknown``, reaches ``min_score``, and a template of that family confirms it
 by sharing ``min_share`` of its word pairs.
 
-Texts are scanned whole, paragraph by paragraph inside a task. Null text has no paragraphs.
+Texts are scanned whole, paragraph by paragraph inside a task, and every notice counts. Null text has no paragraphs.
 Repeated rows get equal answers. An empty table gives an empty result.
 """
 
@@ -21,7 +24,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
 
 UNKNOWN = "unknown"
-SAMPLE = 2000       # paragraphs of the corpus that serve as negatives
+SAMPLE = 2000       # lines of the corpus that serve as negatives
 MIN_SCORE, MIN_SHARE = 0.5, 0.6
 
 # Customary license notices by family.
@@ -111,7 +114,7 @@ def training_rows(negatives: list) -> list:
     confirm = _template_pairs()
     for line in negatives:
         words = words_of(line)
-        if max(share_of_pairs(words, confirm).values()) < MIN_SHARE:
+        if max(share_of_pairs(words, confirm).values()) < MIN_SHARE / 2:   # no part of a notice
             rows.append((UNKNOWN, words))
     around = [w for line in negatives[:50] for w in words_of(line)] or ["lorem", "ipsum", "dolor"]
     for family, templates in TEMPLATES.items():
@@ -134,6 +137,13 @@ class LicenseModel:
         self.families, self.weights, self.bias, self.scale = families, weights, bias, scale
         self.signal = {w for g in weights for w in g.split(" ")}
         self.templates = _template_pairs()
+        self.holders = {}       # word pair: numbers of the templates that hold it
+        self.sizes = []         # (pairs, words) of every template
+        for family, each in self.templates.items():
+            for pairs, template in zip(each, TEMPLATES[family]):
+                for pair in pairs:
+                    self.holders.setdefault(pair, []).append(len(self.sizes))
+                self.sizes.append((len(pairs), len(words_of(template))))
 
     def probabilities(self, words: list) -> list:
         z = list(self.bias)
@@ -148,7 +158,9 @@ class LicenseModel:
 
     def classify(self, line: str) -> tuple:
         """(family or ``unknown``, probability) of a paragraph, confirmed by a template."""
-        words = words_of(line)
+        return self.classify_words(words_of(line))
+
+    def classify_words(self, words: list) -> tuple:
         p = self.probabilities(words)
         best = max(range(len(p)), key=p.__getitem__)
         family = self.families[best]
@@ -157,11 +169,87 @@ class LicenseModel:
             return UNKNOWN, 1.0 - p[best]
         return family, p[best]
 
+    def windows(self, words: list) -> list:
+        """Sorted (start, end) of word windows that hold enough pairs of a template.
+
+        A window has twice the template's words at most; of overlapping ones of a template the
+        fullest stays.
+        """
+        spots = {}
+        for i, pair in enumerate(zip(words, words[1:])):
+            for t in self.holders.get(pair, ()):
+                spots.setdefault(t, []).append((i, pair))
+        found = set()
+        for t, hits in spots.items():
+            pairs, n = self.sizes[t]
+            held, at, best = {}, 0, None
+            for i, pair in hits:
+                held[pair] = held.get(pair, 0) + 1
+                while i + 2 - hits[at][0] > 2 * n or held[hits[at][1]] > 1:
+                    old = hits[at][1]
+                    held[old] -= 1
+                    if not held[old]:
+                        del held[old]
+                    at += 1
+                if len(held) >= MIN_SHARE * pairs:
+                    window = (len(held), hits[at][0], i + 2)
+                    if best and window[1] >= best[2]:
+                        found.add(best[1:])
+                        best = None
+                    if best is None or window[0] > best[0]:
+                        best = window
+            if best:
+                found.add(best[1:])
+        return sorted(found)
+
+    def notices(self, text: str) -> tuple:
+        """(number of paragraphs, sorted (first line, family, score) of the notices) of a text.
+
+        A window counts if no better one overlaps. With one line in it that is a notice of the same
+        family it is that notice from its first line on; other lines found alone stand for it.
+        """
+        found, total, paragraph = [], 0, []
+        for number, line in enumerate([*text.split("\n"), ""]):
+            if line.strip():
+                paragraph.append((number, words_of(line)))
+            elif paragraph:
+                total += 1
+                found += self._paragraph(paragraph)
+                paragraph = []
+        return total, found
+
+    def _paragraph(self, rows: list) -> list:
+        found = {}
+        for number, words in rows:
+            family, score = self.classify_words(words)
+            if family != UNKNOWN:
+                found[number] = family, score
+        alone = set(found)
+        words = [w for _, part in rows for w in part]
+        owner = [number for number, part in rows for _ in part]
+        options = []
+        for a, b in self.windows(words):
+            family, score = self.classify_words(words[a:b])
+            if family != UNKNOWN:
+                options.append((-score, a, b, family))
+        used = []
+        for score, a, b, family in sorted(options):
+            inside = sorted(alone.intersection(owner[a:b]))
+            if (all(b <= x or y <= a for x, y in used)
+                    and (not inside or len(inside) == 1 and found[inside[0]][0] == family)):
+                used.append((a, b))
+                for number in inside:
+                    score = min(score, -found.pop(number)[1])
+                alone.difference_update(inside)
+                if owner[a] not in found or found[owner[a]][1] < -score:
+                    found[owner[a]] = family, -score
+        return sorted((n, family, score) for n, (family, score) in found.items())
+
 
 def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> LicenseModel:
-    """Train on the templates and the ``sample`` paragraphs of smallest hash.
+    """Train on the templates and the ``sample`` lines of smallest hash.
 
-    A bound on the hash leaves about ``sample`` times the paragraphs of a document before the
+    A bound on the hash leaves about ``sample`` times the lines of a document before the
     tasks send their smallest to the driver, whatever the size of the corpus.
     """
     spark = docs.sparkSession
@@ -214,8 +302,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", model: Licens
          ) -> DataFrame:
     """Rows (doc_id, n_paragraphs, n_license, families, family, score, lines).
 
-    ``families`` sorted and joined by commas, ``family`` that of the best paragraph (ties: the
-    first), ``lines`` the numbers of license paragraphs among the text's lines, from 0.
+    ``n_license`` notices; ``families`` sorted and joined by commas, ``family`` that of the best
+    notice (ties: the first), ``lines`` the numbers of the lines where notices begin, from 0.
     """
     model = model or fit(docs, text)
     slim = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -223,13 +311,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", model: Licens
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def one(text):
-        found, total = [], 0
-        for number, line in enumerate((text or "").split("\n")):
-            if line.strip():
-                total += 1
-                family, score = shared.value.classify(line)
-                if family != UNKNOWN:
-                    found.append((number, family, score))
+        total, found = shared.value.notices(text or "")
         best = max(found, key=lambda f: f[2]) if found else (None, None, 0.0)
         return (total, len(found), ",".join(sorted({f for _, f, _ in found})), best[1], best[2],
                 [n for n, _, _ in found])
