@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from cellpulse.llm import (chat, imatch, language_id, license_scan, line_dedup, line_quality,
-                           main_text, mixing, near_dedup, packing)
+from cellpulse.llm import (chat, collocations, imatch, language_id, license_scan, line_dedup,
+                           line_quality, main_text, mixing, near_dedup, packing)
 from cellpulse.llm.text import table
 
 
@@ -49,6 +49,10 @@ def html_extraction(spark, folder):
     return main_text.extract(table(spark, folder, "pages"), ["page_id", "url"])
 
 
+def phrases(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_language_id": language,
     "op2_line_dedup": aligned_lines,
@@ -60,5 +64,9 @@ QUERIES = {
     "op8_line_frequency_quality": quality,
     "op9_lsh_forest_near_dedup": near_duplicates,
     "op10_html_extraction": html_extraction,
+    "op11_phrase_collocations": phrases,
+}
+ORACLES = {
+    "op7_chat_perspectives": chat.RENDER_SQL,
+    "op11_phrase_collocations": collocations.COLLOCATIONS_SQL,
 }
-ORACLES = {"op7_chat_perspectives": chat.RENDER_SQL}
