@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cellpulse.llm import (chat, collocations, imatch, language_id, license_scan, line_dedup,
-                           line_quality, main_text, mixing, near_dedup, packing)
+                           line_quality, main_text, mixing, near_dedup, packing, repair)
 from cellpulse.llm.text import table
 
 
@@ -53,6 +53,10 @@ def phrases(spark, folder):
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+def structure(spark, folder):
+    return repair.audit(table(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op1_language_id": language,
     "op2_line_dedup": aligned_lines,
@@ -65,6 +69,7 @@ QUERIES = {
     "op9_lsh_forest_near_dedup": near_duplicates,
     "op10_html_extraction": html_extraction,
     "op11_phrase_collocations": phrases,
+    "op13_structure_repair": structure,
 }
 ORACLES = {
     "op7_chat_perspectives": chat.RENDER_SQL,
