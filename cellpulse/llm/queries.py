@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from cellpulse.llm import (chat, collocations, imatch, language_id, license_scan, line_dedup,
-                           line_quality, main_text, mixing, near_dedup, packing, repair)
+from cellpulse.llm import (chat, collocations, imatch, jaccard_join, language_id, license_scan,
+                           line_dedup, line_quality, main_text, mixing, near_dedup, packing, repair)
 from cellpulse.llm.text import table
 
 
@@ -53,6 +53,10 @@ def phrases(spark, folder):
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+def jaccard_links(spark, folder):
+    return jaccard_join.components(table(spark, folder, "documents"))
+
+
 def structure(spark, folder):
     return repair.audit(table(spark, folder, "conversations"))
 
@@ -69,6 +73,7 @@ QUERIES = {
     "op9_lsh_forest_near_dedup": near_duplicates,
     "op10_html_extraction": html_extraction,
     "op11_phrase_collocations": phrases,
+    "op12_jaccard_metric_join": jaccard_links,
     "op13_structure_repair": structure,
 }
 ORACLES = {

@@ -45,3 +45,15 @@ def in_bitmap(h: Column, bits: Column, cells: int) -> Column:
     """Whether the bit of a hash is set; other hashes may share it."""
     word = F.get(bits, F.shiftright(h.bitwiseAND(F.lit(cells - 1)), 6).cast("int"))
     return F.getbit(word, h.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
+def spread_join(rows: DataFrame, table: DataFrame, keys: list, weight: str = "n") -> DataFrame:
+    """Join rows with a stored table of one row per key that counts the key's rows in ``weight``.
+
+    Keys that hold a thousandth of all rows or more, a thousand at most, are broadcast, so no
+    task gets a hot key's rows; the others are shuffled.
+    """
+    total = table.agg(F.sum(weight).alias("t")).collect()[0]["t"] or 0
+    hot = F.broadcast(table.where(F.col(weight) * 1000 >= F.lit(total)))
+    rest = rows.join(hot.select(*keys), keys, "left_anti").join(table, keys)
+    return rows.join(hot, keys).unionByName(rest)
