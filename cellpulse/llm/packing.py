@@ -24,7 +24,8 @@ from cellpulse.session import materialise
 
 SEQUENCE = 4096
 END_ID = 1
-CACHED_WORDS = 1_000_000  # memory bound of a worker's word cache
+CACHED_BYTES = 256 << 20   # bound of a worker's word cache, estimated
+LONGEST_CACHED = 64        # characters; longer stretches are encoded each time
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _PIECES = ("doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, "
            "part int, local bigint")
@@ -43,9 +44,10 @@ class WordEncoder:
     A-Z first lets more stretches agree, except in texts that may hold special tokens.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached_bytes: int = None):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.room = CACHED_BYTES if cached_bytes is None else cached_bytes
         self.known = {}
 
     def encode(self, texts: list) -> list:
@@ -59,21 +61,30 @@ class WordEncoder:
             for word, ids in zip(some, self.tokenizer.encode_batch_fast(
                     some, add_special_tokens=False)):
                 found[word] = array("I", ids.ids).tobytes()
-        if len(known) + len(found) <= CACHED_WORDS:
+        every = {**{w: known[w] for p in parted for w in p if w in known}, **found} if (
+            self.room <= 0) else None
+        if every is None:
             known.update(found)
-        else:
-            known = {**{w: known[w] for p in parted for w in p if w in known}, **found}
-        return [b"".join(map(known.__getitem__, p)) for p in parted]
+            every = known
+        out = [b"".join(map(every.__getitem__, p)) for p in parted]
+        if every is known:
+            # A stretch of text, its ids and the table's entry.
+            self.room -= sum(250 + 5 * len(w) for w in found)
+            for w in found:
+                if len(w) > LONGEST_CACHED:
+                    del known[w]
+        return out
 
 
 _ENCODERS = {}
 
 
-def encoder_of(path: str) -> WordEncoder:
-    """The worker's encoder, kept from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+def encoder_of(path: str, cached_bytes: int = None) -> WordEncoder:
+    """The worker's encoder, kept from task to task; the last one only."""
+    if (path, cached_bytes) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, cached_bytes] = WordEncoder(path, cached_bytes)
+    return _ENCODERS[path, cached_bytes]
 
 
 def _small_groups(texts: list, limit: int = 1 << 22):
@@ -89,7 +100,7 @@ def _small_groups(texts: list, limit: int = 1 << 22):
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, end_id: int = END_ID,
-           key: str = "doc_id", text: str = "text") -> DataFrame:
+           key: str = "doc_id", text: str = "text", cached_bytes: int = None) -> DataFrame:
     """One row per piece, stored once: ``part`` names the writing task, ``local`` the rank of
     the piece among those of equal length in that part."""
     slim = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -103,13 +114,14 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, end_id: in
         import pyarrow as pa
         from pyspark import TaskContext
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = encoder_of(tokenizer)
+        encoder = encoder_of(tokenizer, cached_bytes)
         part = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         step = capacity * 4
         for batch in batches:
-            row, out = 0, {n: [] for n in ("row", "piece", "start", "length", "crc", "local")}
+            row = 0
             for texts in _small_groups([t or "" for t in batch.column(1).to_pylist()]):
+                out = {n: [] for n in ("row", "piece", "start", "length", "crc", "local")}
                 for ids in encoder.encode(texts):
                     ids += closing
                     for number, at in enumerate(range(0, len(ids), step)):
@@ -123,13 +135,13 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, end_id: in
                         out["local"].append(seen[size])
                         seen[size] += 1
                     row += 1
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(out["row"], pa.int64())),
-                 pa.array(out["piece"], pa.int32()), pa.array(out["start"], pa.int64()),
-                 pa.array(out["length"], pa.int64()), pa.array(out["crc"], pa.int64()),
-                 pa.array([part] * len(out["row"]), pa.int32()),
-                 pa.array(out["local"], pa.int64())],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "local"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(out["row"], pa.int64())),
+                     pa.array(out["piece"], pa.int32()), pa.array(out["start"], pa.int64()),
+                     pa.array(out["length"], pa.int64()), pa.array(out["crc"], pa.int64()),
+                     pa.array([part] * len(out["row"]), pa.int32()),
+                     pa.array(out["local"], pa.int64())],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "local"])
     return materialise(slim.mapInArrow(run, _PIECES.format(kind=kind)), "pieces")
 
 
@@ -212,7 +224,10 @@ def _columns(plan: list) -> tuple:
 
 
 def pack(docs: DataFrame, tokenizer: str = None, capacity: int = SEQUENCE, end_id: int = END_ID,
-         key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Pack all documents into sequences of at most ``capacity`` tokens."""
-    return place(pieces(docs, tokenizer or default_tokenizer(), capacity, end_id, key, text),
-                 capacity)
+         key: str = "doc_id", text: str = "text", cached_bytes: int = None) -> DataFrame:
+    """Pack all documents into sequences of at most ``capacity`` tokens.
+
+    ``cached_bytes`` bounds the encoded words that a worker keeps.
+    """
+    return place(pieces(docs, tokenizer or default_tokenizer(), capacity, end_id, key, text,
+                        cached_bytes), capacity)
