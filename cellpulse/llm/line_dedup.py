@@ -24,9 +24,11 @@ from bisect import bisect_left
 
 from pyspark.sql import DataFrame, functions as F
 
+from cellpulse.llm.text import release
 from cellpulse.session import materialise
 
 MIN_WORDS = 30
+SLICE = 1 << 22  # characters of text whose lines are held at once
 _LINES = ("doc bigint, tie bigint, at int, raw int, h1 bigint, h2 bigint, w int, "
           "r1 bigint, r2 bigint")
 
@@ -63,18 +65,26 @@ def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         import pyarrow as pa
         names = ["doc", "tie", "at", "raw", "h1", "h2", "w", "r1", "r2"]
         kinds = [pa.int32()] * 2 + [pa.int64()] * 2 + [pa.int32()] + [pa.int64()] * 2
+        def as_batch(batch, owner, columns):
+            return pa.RecordBatch.from_arrays(
+                [batch.column(i).take(pa.array(owner, pa.int64())) for i in (0, 1)]
+                + [pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
         for batch in batches:
-            owner, columns = [], [[] for _ in kinds]
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                for at, raw, h, w, r in line_rows(text or "", min_words):
+            owner, columns, read = [], [[] for _ in kinds], 0
+            for i in range(len(batch)):
+                text = batch.column(2)[i].as_py() or ""
+                for at, raw, h, w, r in line_rows(text, min_words):
                     owner.append(i)
                     for column, value in zip(columns, (
                             at, raw, *_signed(h), w, *(_signed(r) if r is not None
                                                        else (None, None)))):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i).take(pa.array(owner, pa.int64())) for i in (0, 1)]
-                + [pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+                read += len(text)
+                if read >= SLICE:
+                    yield as_batch(batch, owner, columns)
+                    owner, columns, read = [], [[] for _ in kinds], 0
+            yield as_batch(batch, owner, columns)
+        release()
     return materialise(docs.mapInArrow(run, _LINES), "lines")
 
 

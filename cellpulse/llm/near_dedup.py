@@ -35,7 +35,8 @@ from cellpulse.operators.density import connected
 from cellpulse.session import materialise
 
 
-MOST_CELLS = 1 << 27  # bits
+MOST_CELLS = 1 << 27   # bits
+MOST_POWERS = 1 << 21  # entries of the tables that a worker keeps
 
 
 @dataclass(frozen=True)
@@ -65,6 +66,11 @@ def _mix(x):
 def _powers(n: int):
     """Powers of an odd base and of its inverse modulo 2**64, and one number per byte."""
     import numpy as np
+    if n > MOST_POWERS:     # longer texts make their own, which go with them
+        base = 0x9E3779B97F4A7C15
+        up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        return np.multiply.accumulate(up), np.multiply.accumulate(down), _powers(1)[2]
     if len(_TABLES.get("up", ())) < n:
         size = max(n, 1 << 16)
         base = 0x9E3779B97F4A7C15

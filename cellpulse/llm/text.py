@@ -26,6 +26,19 @@ def words(text: Column) -> Column:
     return F.filter(F.split(even, " "), lambda w: w != "")
 
 
+def release():
+    """Give memory that a finished Arrow task freed back, since workers live on."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def bitmap(hashes: DataFrame, cells: int) -> DataFrame:
     """One row with ``cells`` bits as an array ``bitmap`` of 64-bit words; ``cells`` is a power
     of two. The bits of all hashes ``h`` are set, so the size is fixed, whatever the rows.
