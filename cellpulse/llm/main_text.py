@@ -38,10 +38,10 @@ _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     r"|<(script|style|noscript|template|iframe|object|title|"
-    r"""svg(?!(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*+(?<=/)>))(?=[\s/>])"""   # not <svg .../>
-    r"""(?:[^>"']|"[^"]*"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"""
+    r"""svg(?!(?=[\s/>])(?:[^>=]|=\s*"[^"]*"|=\s*'[^']*'|=)*+(?<=/)>))(?=[\s/>])"""   # not <svg .../>
+    r"""(?:[^>=]|=\s*"[^"]*"|=\s*'[^']*'|=)*+>.*?(?:</\1\s*>|\Z)"""
     r"|<[!?][^>]*(?:>|\Z)"
-    r"""|</?([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>"""
+    r"""|</?([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*"[^"]*"|=\s*'[^']*'|=)*+)>"""   # a quote opens after =
     r"|</?([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S | re.I)
 _ATTRIBUTE = re.compile(
     r"""\b(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""",
