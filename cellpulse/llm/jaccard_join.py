@@ -15,7 +15,7 @@ less. The distance is a metric. Documents with equal sets are one class.
 3. *Recursion.* A region too large for a task takes ``pivots`` of its members. Each member goes
    to the nearest one's cell and, since partners are within r, to every cell whose pivot is no
    further than the nearest plus 2 r (triangle inequality). Cells are regions of the next level,
-   until they are small or hold more than three quarters of their region.
+   until they are small. A region stays whole if one cell would hold more than three quarters.
 4. *Join.* A region that cannot be divided is cut into tiles by hash: every pair of slots is one
    task, and each pair of members meets in exactly one tile. A task counts common hashes through
    an index of its members' sets and returns links between components that it has not yet
@@ -361,12 +361,13 @@ def class_links(docs: DataFrame, marked: DataFrame, s: Settings = Settings(),
 
 
 def _divided(rest: DataFrame, texts: DataFrame, s: Settings) -> tuple:
-    """Members of the cells of large regions, and the test for cells that are not divided again.
+    """Members of the cells of large regions, and the test for regions that cannot be divided.
 
-    A cell's ``region`` is negative if it holds more than three quarters of its region.
+    A region stays whole, under a negative number, if one cell would hold more than three
+    quarters of it.
     """
     spot = F.struct(F.xxhash64("cls", "region").alias("spot"), "cls")
-    low = F.array_sort(F.collect_set("cls")).alias("names")
+    low = F.sort_array(F.collect_set("cls")).alias("names")
     # The pivots: members of least hash, found by shares of the region's members.
     share = F.expr(f"abs(xxhash64(cls, region)) % n < {4 * s.pivots}")
     some = rest.where(share).groupBy("region").agg(low)
@@ -376,19 +377,20 @@ def _divided(rest: DataFrame, texts: DataFrame, s: Settings) -> tuple:
             F.array("one"), F.slice(F.coalesce("names", F.array().cast("array<bigint>")),
                                     1, s.pivots - 1)))).alias("pivot"))
     cells = windows(rest.select("region", "cls"), pivots, texts, s)
-    sizes = rest.groupBy("region").agg(F.first("n").alias("whole"))
-    cell_sizes = materialise(
-        cells.groupBy("region", "pivot").agg(F.count(F.lit(1)).alias("n")).join(sizes, "region")
-        .select("region", "pivot", "n",
-                (F.col("n") * 4 > F.col("whole") * 3).alias("flat")), "cells")
-    key = F.abs(F.xxhash64("region", "pivot"))
-    named = spread_join(cells, cell_sizes, ["region", "pivot"]).select(
-        F.when(F.col("flat"), -key).otherwise(key).alias("cell"), "cls",
-        F.col("region").alias("old"))
-    known = rest.select(F.col("region").alias("old"), "cls", "size", "label")
-    members = materialise(named.join(known, ["old", "cls"]).select(
-        F.col("cell").alias("region"), "cls", "size", "label"), "members")
-    return members, F.col("region") < 0
+    sizes = rest.groupBy("region").agg(F.first("n").alias("whole"), F.count(F.lit(1)).alias("n"))
+    cell_sizes = materialise(cells.groupBy("region", "pivot").agg(F.count(F.lit(1)).alias("n")),
+                             "cells")
+    flat = cell_sizes.groupBy("region").agg(F.max("n").alias("most"))
+    sizes = materialise(sizes.join(flat, "region").withColumn(
+        "flat", F.col("most") * 4 > F.col("whole") * 3), "divided")
+    known = materialise(spread_join(rest.select("region", "cls", "size", "label"),
+                                    sizes.select("region", "n", "flat"), ["region"]), "known")
+    whole = known.where("flat").select(
+        (-F.abs(F.xxhash64("region"))).alias("region"), "cls", "size", "label")
+    parts = known.where("NOT flat").join(cells.select("region", "cls", "pivot"),
+                                         ["region", "cls"]).select(
+        F.abs(F.xxhash64("region", "pivot")).alias("region"), "cls", "size", "label")
+    return materialise(whole.unionByName(parts), "members"), F.col("region") < 0
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text",
