@@ -8,6 +8,9 @@ from cellpulse.llm import language_id, line_dedup, mixing, near_dedup, packing
 from cellpulse.session import materialise
 
 
+CACHED_BYTES = 32 << 20   # of encoded words per worker, beside the other stages' memory
+
+
 def known_language(spark, docs, sf_dir):
     """Documents whose language is recognised; learned from their own labels."""
     return language_id.keep_known(docs, language_id.fit(docs, ~language_id.held_out()))
@@ -30,7 +33,7 @@ def mixed_sources(spark, docs, sf_dir):
 
 def packed_sequences(spark, docs, sf_dir):
     """Pieces with their places in token sequences."""
-    return packing.pack(docs)
+    return packing.pack(docs, cached_bytes=CACHED_BYTES)
 
 
 STAGES = [
