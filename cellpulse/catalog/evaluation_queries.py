@@ -75,9 +75,8 @@ def feat_folds(spark, sf):
 
 def feat_standard_scale(spark, sf):
     df = sampling.split_stratified(kpi_view(spark, sf), "anomaly", "id")
-    columns = ["one_way_latency_ms", "bler_percent", "throughput_dl_mbps"]
-    scale = fe.standard_scaler(df.where("part = 'train'"), columns)
-    return rounded(scale(df).select("id", "part", *columns))
+    scale = fe.standard_scaler(df.where("part = 'train'"), schema.KPIS)
+    return rounded(scale(df).select("id", "part", *schema.KPIS))
 
 
 def feat_class_weights(spark, sf):

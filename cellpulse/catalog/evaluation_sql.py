@@ -149,7 +149,7 @@ EVALUATION_SQL = {
         "SELECT id, part, " + ", ".join(
             f"round(({c} - avg({c}) FILTER (part = 'train') OVER ()) / "
             f"stddev_pop({c}) FILTER (part = 'train') OVER (), 6) AS {c}"
-            for c in ("one_way_latency_ms", "bler_percent", "throughput_dl_mbps"))
+            for c in schema.KPIS)
         + " FROM split", _SPLIT),
     "feat_class_weights": with_kpi(
         "SELECT anomaly_type, count(*) AS n_class, round(sum(count(*)) OVER () / "

@@ -111,13 +111,15 @@ def fact_union(spark, sf):
 
 
 def fc_window_model(spark, sf):
-    scores, _ = fc.train_window_models(kpi_view(spark, sf), LATENCY)
-    return rounded(scores, 4)
+    """Scores of the window models of every KPI."""
+    return rounded(reduce(DataFrame.unionByName, [
+        fc.train_window_models(kpi_view(spark, sf), kpi)[0] for kpi in schema.FORECAST_UNITS]), 4)
 
 
 def fc_window_facts(spark, sf):
-    """Fact rows of the best trained window model for every cell."""
-    return fc.score_all(kpi_view(spark, sf), "bler_percent")
+    """Fact rows of each KPI's best trained window model for every cell."""
+    return reduce(DataFrame.unionByName, [
+        fc.score_all(kpi_view(spark, sf), kpi) for kpi in schema.FORECAST_UNITS])
 
 
 FORECAST = {f.__name__: f for f in [

@@ -1,13 +1,14 @@
 """Registered queries that fit models. They return scores, so only rows are checked."""
 
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from cellpulse import schema
 from cellpulse.operators import sampling
 from cellpulse.plans import (
-    clusters as cl, evaluation as ev, features as fe, models as md, outliers as ou, stats as st)
+    clusters as cl, evaluation as ev, features as fe, models as md, outliers as ou, search as se,
+    stats as st)
 from cellpulse.session import materialise, new_path, rounded
 from cellpulse.sources.kpi_view import kpi_view, raw_records
 
@@ -128,10 +129,58 @@ def ml_cross_validate(spark, sf):
     return rounded(table, 4)
 
 
-def eval_learning_curve(spark, sf):
+def _searched(spark, sf, candidates):
+    train, _ = _split(spark, sf)
+    table, _ = se.search(train, candidates, "y", "id")
+    return rounded(table, 4)
+
+
+def ml_search_tree(spark, sf):
+    return _searched(spark, sf, {
+        f"depth={d}, leaf={n}": se.by_pipeline(md.stages(
+            md.decision_tree(maxDepth=d, minInstancesPerNode=n), STRICT))
+        for d in (5, 10) for n in (1, 10)})
+
+
+def ml_search_forest(spark, sf):
+    return _searched(spark, sf, {
+        f"trees={t}, depth={d}": se.by_pipeline(md.stages(
+            md.random_forest(numTrees=t, maxDepth=d), STRICT))
+        for t, d in ((100, 6), (150, 10))})
+
+
+def ml_search_svm(spark, sf):
+    n = kpi_view(spark, sf).count()
+    return _searched(spark, sf, {
+        f"c={c}": se.by_pipeline(md.stages(md.linear_svm(n, c=c, maxIter=100), STRICT, scale=True))
+        for c in (0.1, 1.0, 10.0)})
+
+
+def ml_search_knn(spark, sf):
+    """Scaling and neighbours both learned from the training folds alone."""
+    return _searched(spark, sf, {
+        f"k={k}, {w}": se.by_neighbours(STRICT, "y", "id", k, w)
+        for k in (5, 15) for w in ("uniform", "distance")})
+
+
+def ml_svm_calibrated(spark, sf):
+    """Reliability of a machine's probabilities: a sigmoid on margins out of fold."""
     train, test = _split(spark, sf)
-    return rounded(md.learning_curve(
-        train, test, lambda: md.decision_tree(maxDepth=5), STRICT, "y", "id", [i / 10 for i in range(1, 11)]), 4)
+    run = se.by_pipeline(md.stages(md.linear_svm(train.count(), maxIter=100), STRICT, scale=True))
+    out_of_fold = se.fold_predictions(train, {"svm": run}, "y", "id")
+    scored = se.platt(out_of_fold)(run(train, test)).select("y", "probability")
+    scored = materialise(scored, "calibrated")
+    whole = se.brier(scored, "y", "probability").first()
+    return rounded(se.reliability(scored, "y", "probability").withColumns(
+        {c: F.lit(whole[c]) for c in ("brier", "brier_base_rate")}), 4)
+
+
+def eval_learning_curve(spark, sf):
+    """Every metric on both sides over three folds, for nested shares of the training rows."""
+    train, _ = _split(spark, sf)
+    return rounded(se.learning_curve(
+        train, lambda: se.by_pipeline(md.stages(md.decision_tree(), STRICT)), "y", "id",
+        [0.1, 0.25, 0.5, 0.75, 1.0]), 4)
 
 
 def ml_save_load(spark, sf):
@@ -150,7 +199,7 @@ def ml_save_load(spark, sf):
 
 # ---- scalings and projections --------------------------------------------
 
-_SHAPED = ["one_way_latency_ms", "throughput_dl_mbps", "handover_success_rate_percent"]
+_SHAPED = schema.KPIS
 
 
 def feat_yeo_johnson(spark, sf):
@@ -192,12 +241,14 @@ def ml_pca(spark, sf):
 
 
 def ml_pca_plane(spark, sf):
-    """Rows projected on two components."""
-    from pyspark.ml.functions import vector_to_array
+    """Rows projected on two components, whose largest loadings are taken as positive."""
     df = _kpi_vectors(spark, sf)
     model, _ = ou.fit_pca(df, "scaled", k=2)
+    loads = model.pc.toArray()
+    sign = [1.0 if max(loads[:, i], key=abs) > 0 else -1.0 for i in range(2)]
     xy = vector_to_array("projected")
-    return rounded(model.transform(df).select("id", F.abs(xy[0]).alias("x"), F.abs(xy[1]).alias("y")), 4)
+    return rounded(model.transform(df).select(
+        "id", *[(xy[i] * sign[i]).alias(n) for i, n in enumerate("xy")]), 4)
 
 
 # ---- outliers and clusters -----------------------------------------------
@@ -260,7 +311,8 @@ def ml_cluster_mapping(spark, sf):
 
 MODELS = {f.__name__: f for f in [
     ml_decision_tree, ml_trainer, ml_random_forest, ml_importances, ml_gbt, ml_logistic,
-    ml_linear_svm, ml_rbf_svm, ml_cross_validate, eval_learning_curve, ml_save_load,
+    ml_linear_svm, ml_rbf_svm, ml_cross_validate, ml_search_tree, ml_search_forest,
+    ml_search_svm, ml_search_knn, ml_svm_calibrated, eval_learning_curve, ml_save_load,
     feat_yeo_johnson, feat_quantile_normal, stat_best_transform, ml_pca, ml_pca_plane,
     ml_isolation_forest, ml_reconstruction_error, ml_kmeans, ml_elbow, ml_gmm,
     ml_cluster_mapping]}

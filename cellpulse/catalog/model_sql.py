@@ -1,9 +1,10 @@
 """SQL for model queries with a closed form."""
 
+from cellpulse import schema
 from cellpulse.catalog.kpi_sql import with_kpi
 from cellpulse.plans import features as fe
 
-_SHAPED = ["one_way_latency_ms", "throughput_dl_mbps", "handover_success_rate_percent"]
+_SHAPED = schema.KPIS
 _SPLIT = ("split AS (SELECT *, rn <= floor(n_c * 8 / 10.0) AS train FROM (SELECT *, row_number() "
           "OVER (PARTITION BY anomaly ORDER BY md5(CAST(id AS VARCHAR)), id) AS rn, "
           "count(*) OVER (PARTITION BY anomaly) AS n_c FROM kpi))")

@@ -7,7 +7,7 @@ from cellpulse.plans import alerts as al, features as fe, models as md
 from cellpulse.session import new_path, rounded
 from cellpulse.sources import tables
 from cellpulse.sources.kpi_view import kpi_view, raw_records
-from cellpulse.streaming import jobs
+from cellpulse.streaming import jobs, ledger
 from cellpulse.streaming.messages import message, open_messages
 
 NOW = {"availableNow": True}
@@ -124,12 +124,16 @@ def stream_hourly(spark, sf):
 
 
 def stream_progress(spark, sf):
-    """Rows counted by the scoring job's own batch reports."""
+    """Rows counted by the kept reports of all batches of the scoring job."""
     out = new_path(spark, "scored")
-    queries = jobs.start_scoring(open_messages(spark, _raw_messages(spark, sf)),
-                                 *_models(spark, sf), out, out + "-log", trigger=NOW)
+    log = ledger.ProgressLog(spark, new_path(spark, "progress"))
+    source = open_messages(spark, _raw_messages(spark, sf), files_per_trigger=2)
+    queries = jobs.start_scoring(source, *_models(spark, sf), out, out + "-log", log=log,
+                                 trigger=NOW)
     _finish(*queries)
-    return jobs.progress(spark, queries[0]).agg(F.sum("rows").alias("rows"))
+    log.wait(queries[0])
+    spark.streams.removeListener(log)
+    return ledger.totals(spark, log.root).select("rows")
 
 
 def stream_bad_records(spark, sf):

@@ -159,23 +159,6 @@ def cross_validate(df: DataFrame, pipeline: Pipeline, maps: list, label: str, ke
     return table, found.bestModel
 
 
-def learning_curve(train: DataFrame, test: DataFrame, make, inputs: list, label: str, key: str,
-                   shares: list) -> DataFrame:
-    """F1 on the used training rows and on the test rows for growing training shares."""
-    out = None
-    for share in shares:
-        part = sampling.mark_quota(train, label, key, lambda n, _, s=share: max(1, int(s * n)))
-        part = part.where("picked").drop("picked")
-        model = fit(make(), part, inputs)
-        both = [ev.binary_metrics(model.transform(d), label, "prediction")
-                .select(F.lit(float(share)).alias("share"), F.lit(name).alias("part"),
-                        (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("rows"), "f1")
-                for name, d in (("train", part), ("test", test))]
-        rows = both[0].unionByName(both[1])
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
 # ---- kernel approximation ------------------------------------------------
 
 def fourier_features(df: DataFrame, inputs: list, gamma: float, size: int = 128,

@@ -1,7 +1,5 @@
 """Scoring, ingest and counting jobs on message streams."""
 
-from datetime import timedelta
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,13 +9,12 @@ from cellpulse import schema
 from cellpulse.functions.scalar import decode
 from cellpulse.plans.alerts import evaluate_sla
 from cellpulse.plans.features import serving_features
-from cellpulse.sources.files import path_exists
 from cellpulse.sources.tables import batch_path, conform
-from cellpulse.session import small_table
+from cellpulse.streaming import ledger
 from cellpulse.streaming.messages import message
 
 BAD = "_bad"
-REPEAT_DAYS = 7  # a batch is repeated within a week of its first attempt
+MANIFEST = "_batches"  # under the predictions table; readers skip names with an underscore
 
 
 def _as_text(record: StructType) -> StructType:
@@ -77,12 +74,14 @@ def write_messages(records: DataFrame, target: str, checkpoint: str, fmt: str =
 
 
 def start_scoring(messages: DataFrame, binary, multiclass, target: str, checkpoint: str,
-                  bad_target: str = None, **sink):
+                  bad_target: str = None, log: ledger.ProgressLog = None, **sink):
     """Score each raw message; unreadable ones go to ``bad_target`` and do not stop the job.
 
-    ``bad_target`` is a folder, ``target`` with the ending ``-bad`` by default. ``progress`` reads
-    the counts of each batch off the first of the returned queries.
+    ``bad_target`` is a folder, ``target`` with the ending ``-bad`` by default. ``log`` keeps the
+    counts of every batch; ``ledger.progress`` reads them, also after a restart.
     """
+    if log is not None:
+        log.spark.streams.addListener(log)
     parsed = parse(messages, schema.RAW_RECORD)
     counted = score(good(parsed), binary, multiclass).observe(
         "scored", F.count(F.lit(1)).alias("rows"), F.sum("ml_prediction").alias("anomalies"))
@@ -94,32 +93,22 @@ def start_scoring(messages: DataFrame, binary, multiclass, target: str, checkpoi
     return queries
 
 
-def progress(spark, query: StreamingQuery) -> DataFrame:
-    """Rows and anomalies of each reported batch of a scoring query (Spark keeps the last ones)."""
-    rows = []
-    for report in query.recentProgress:
-        seen = report.observedMetrics.get("scored")
-        if seen is not None:
-            rows.append((report.batchId, seen["rows"], seen["anomalies"] or 0))
-    return small_table(spark, "batch bigint, rows bigint, anomalies bigint", rows)
-
-
-def _day_of(spark, root: str, batch: int):
-    """Day under which a batch is stored: that of its first attempt, else today."""
-    today = spark.sql("SELECT current_date() AS d").first()["d"]
-    for back in range(REPEAT_DAYS):
-        day = today - timedelta(days=back)
-        if path_exists(spark, batch_path(root, day, batch)):
-            return day
-    return today
+def _places(spark, paths: dict, batch: int) -> dict:
+    """Day and folders of a batch as its manifest names them; the first attempt writes it."""
+    day = str(spark.sql("SELECT current_date() AS d").first()["d"])
+    return ledger.once(
+        spark, ledger.record_path(f"{paths['predictions']}/{MANIFEST}", batch),
+        {"batch": batch, "day": day,
+         **{name: batch_path(paths[name], day, batch) for name in ("predictions", "alerts")}})
 
 
 def start_ingest(messages: DataFrame, paths: dict, thresholds: DataFrame, checkpoint: str,
                  trigger: dict = None) -> StreamingQuery:
     """Append scored records to the predictions table and their breaches to the alerts table.
 
-    Each micro-batch owns one folder per table, under its day, and replaces it when it is run
-    again, so a retry leaves no double rows. ``id`` is unique within a batch; ``batch_id`` and
+    Each micro-batch owns one folder per table, under the day of its first attempt. Its manifest
+    names them before a row is written, so a batch that is run again, however late, replaces its
+    rows and leaves no double ones. ``id`` is unique within a batch; ``batch_id`` and
     ``id`` name a record, whatever the number of batches and tasks. Unreadable messages are kept
     under ``paths["bad"]``. Alerts are read off the stored predictions.
     """
@@ -127,8 +116,8 @@ def start_ingest(messages: DataFrame, paths: dict, thresholds: DataFrame, checkp
 
     def store(batch: DataFrame, number: int):
         spark, name = batch.sparkSession, number + 1
-        day = _day_of(spark, paths["predictions"], name)
-        place = batch_path(paths["predictions"], day, name)
+        places = _places(spark, paths, name)
+        place = places["predictions"]
         bad(batch).write.mode("overwrite").text(f"{paths['bad']}/batch_id={name}")
         rows = (conform(good(batch).drop("value"), schema.PREDICTIONS)
                 .withColumn("timestamp", F.col("timestamp").try_cast("timestamp_ntz"))
@@ -136,8 +125,7 @@ def start_ingest(messages: DataFrame, paths: dict, thresholds: DataFrame, checkp
                 .withColumn("ingested_at", F.localtimestamp()))
         rows.write.mode("overwrite").parquet(place)
         stored = spark.read.schema(schema.PREDICTIONS).parquet(place)
-        (evaluate_sla(stored, thresholds).write.mode("overwrite")
-         .parquet(batch_path(paths["alerts"], day, name)))
+        evaluate_sla(stored, thresholds).write.mode("overwrite").parquet(places["alerts"])
     return (records.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "1 second"})).start())
 
