@@ -45,8 +45,8 @@ class Settings:
     shingle: int = 5
     percent: int = 80
     pivots: int = 16
-    members: int = 512             # of a region joined by one task
-    hashes: int = 1 << 20          # in the sets of such a region
+    members: int = 2048            # of a region joined by one task
+    hashes: int = 1 << 21          # in the sets of such a region
     salted: int = 2048             # members of a region compared with pivots by one task
 
 
