@@ -24,7 +24,8 @@ from cellpulse.session import materialise
 
 SEQUENCE = 4096
 END_ID = 1
-CACHED_BYTES = 256 << 20   # bound of a worker's word cache, estimated
+CACHED_BYTES = 400_000_000  # bound of a worker's word cache
+ENTRY_BYTES = 400          # of a stretch of text, its ids and the table's entry
 LONGEST_CACHED = 64        # characters; longer stretches are encoded each time
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _PIECES = ("doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, "
@@ -68,11 +69,10 @@ class WordEncoder:
             every = known
         out = [b"".join(map(every.__getitem__, p)) for p in parted]
         if every is known:
-            # A stretch of text, its ids and the table's entry.
-            self.room -= sum(250 + 5 * len(w) for w in found)
-            for w in found:
-                if len(w) > LONGEST_CACHED:
-                    del known[w]
+            long = [w for w in found if len(w) > LONGEST_CACHED]
+            for w in long:
+                del known[w]
+            self.room -= ENTRY_BYTES * (len(found) - len(long))
         return out
 
 
