@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cellpulse.llm.near_dedup import _mix, _texts_of, shingle_set
 from cellpulse.llm.text import spread_join
+from cellpulse.llm.tiles import joined
 from cellpulse.operators.density import connected
 from cellpulse.session import materialise
 
@@ -266,50 +267,6 @@ def _tile_links(members: DataFrame, texts: DataFrame, s: Settings, every: bool)
     return materialise(rows.mapInArrow(run, "a bigint, b bigint"), "links")
 
 
-def joined(members: list, across: bool, percent: int, every: bool) -> list:
-    """Links (a, b) among members (cls, label, slot, set); with ``across``, between slots only.
-
-    Unless ``every`` link is asked for, pairs that are connected already are skipped.
-    """
-    import numpy as np
-    members = sorted(members, key=lambda m: len(m[3]))
-    size = np.array([len(m[3]) for m in members], np.int64)
-    slot = np.array([m[2] for m in members], np.int64)
-    names = {label: i for i, label in enumerate(dict.fromkeys(m[1] for m in members))}
-    group = np.array([names[m[1]] for m in members], np.int64)
-    groups = len(names)
-    whole = np.concatenate([m[3] for m in members])
-    owner = np.repeat(np.arange(len(members)), size)
-    _, spot, held = np.unique(whole, return_inverse=True, return_counts=True)
-    order = np.argsort(spot, kind="stable")
-    holders = owner[order]
-    first = np.concatenate(([0], np.cumsum(held)))[:-1]
-    ends = np.cumsum(size)
-    links = []
-    for i in range(1, len(members)):
-        if groups == 1 and not every:
-            break
-        mine = spot[ends[i] - size[i]:ends[i]]
-        mine = mine[held[mine] > 1]
-        counts = held[mine]
-        total = int(counts.sum())
-        if not total:
-            continue
-        at = np.arange(total) + np.repeat(first[mine] - np.cumsum(counts) + counts, counts)
-        common = np.bincount(holders[at], minlength=len(members))[:i]
-        good = 100 * common >= percent * (size[:i] + size[i] - common)
-        good &= common > 0
-        if across:
-            good &= slot[:i] != slot[i]
-        for j in np.flatnonzero(good).tolist():
-            if every or group[i] != group[j]:
-                links.append((members[j][0], members[i][0]))
-                if group[i] != group[j]:
-                    group[group == group[j]] = group[i]
-                    groups -= 1
-    return links
-
-
 def class_links(docs: DataFrame, marked: DataFrame, s: Settings = Settings(),
                 every_link: bool = False) -> DataFrame:
     """Distinct links (a, b), a < b, between classes: all of them, or enough to connect them."""

@@ -75,3 +75,31 @@ def test_signatures_estimate_the_likeness():
     j = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
     same = (m.signature(a, factors, shifts) == m.signature(b, factors, shifts)).mean()
     assert abs(same - j) < 0.1
+
+
+def family(n, pairs):
+    """Documents that share 170 words at a likeness of 0.78, ``pairs`` of them near each other."""
+    shared = " ".join(f"c{i}" for i in range(170))
+    own = [[f"o{i}x{k}" for k in range(23)] for i in range(n)]
+    for p in range(pairs):      # the partner is anywhere, not beside
+        own[n - 1 - p] = own[p][:8] + own[n - 1 - p][8:]
+    return [(i, shared + " " + " ".join(own[i])) for i in range(n)]
+
+
+def family_recall(spark, n, pairs, settings):
+    rows = family(n, pairs)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in m.components(frame, settings=settings).collect()}
+    for i in range(pairs, n - pairs):
+        assert got[i] == i
+    assert all(got[n - 1 - p] in (p, n - 1 - p) for p in range(pairs))
+    return sum(got[n - 1 - p] == p for p in range(pairs)) / pairs
+
+
+def test_links_inside_a_dense_family_are_found(spark):
+    a, b = (shingles(text) for _, text in (family(900, 90)[0], family(900, 90)[899]))
+    assert 100 * len(a & b) >= 80 * len(a | b)
+    a, b = (shingles(text) for _, text in (family(900, 90)[0], family(900, 90)[400]))
+    assert 100 * len(a & b) < 80 * len(a | b)
+    assert family_recall(spark, 900, 90, m.Settings()) >= 0.98
+    assert family_recall(spark, 900, 90, m.Settings(crowd=100)) >= 0.95    # deep leaves, tiles
