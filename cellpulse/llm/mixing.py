@@ -13,6 +13,11 @@
    of the source's block indices, another one for each pass over the source. Blocks are joined
    by that index.
 
+``mixed_blocks`` returns the mix itself, a row per slot with its shard and the block's text;
+``mix_sizes`` gives per document the words taken and the first slot that holds some of them;
+``mixed_documents`` keeps documents together. Another ``draw`` moves blocks between shards and
+leaves targets and taken words as they are.
+
 Everything follows from hashes of a seed, so reruns agree. Null text has no words. A null source
 is a source of its own and sorts last. Repeated rows are documents of their own. Sources without
 a word have target 0 and take nothing. An empty table gives an empty result.
@@ -27,7 +32,7 @@ from cellpulse.operators.ordering import row_index, running_totals
 from cellpulse.session import materialise
 
 WEIGHTS = (3, 1, 2)
-ROUNDS = 8
+ROUNDS = 8      # of the permutation, and one more for each doubling of the blocks
 
 
 @dataclass(frozen=True)
@@ -38,6 +43,7 @@ class Settings:
     block: int = 64             # words
     shard: int = 8192           # slots
     seed: int = 17
+    draw: int = 0               # another number gives other multinomial draws
 
 
 def _uniform(*cols) -> Column:
@@ -118,7 +124,7 @@ def slots(sources: DataFrame, s: Settings) -> DataFrame:
     every = spark.range(total).select(
         (F.col("id") / s.shard).cast("bigint").alias("shard"), F.col("id").alias("slot"))
     drawn = every.withColumn("_at", F.least(
-        F.lit(total - 1), F.floor(_uniform(F.lit(s.seed), "slot") * total)))
+        F.lit(total - 1), F.floor(_uniform(F.lit(s.seed), F.lit(s.draw), "slot") * total)))
     counted = materialise(_by_interval(drawn, "_at", runs, ["no"]).select(
         "shard", "slot", "no"), "draws")
     # Number the draws of each source: inside the shard, and over the shards before.
@@ -155,29 +161,38 @@ def permuted(rows: DataFrame, s: Settings, index: str = "_x") -> DataFrame:
     """Replace ``index`` by its place in a permutation of 0 .. blocks - 1 given by (no, pass).
 
     Each round pairs x with (k - x) mod blocks and swaps the pair or not by a hash of the
-    pair, which keeps it one to one for any number of blocks.
+    pair, which keeps it one to one for any number of blocks. A round doubles the places that
+    x can reach, so the rounds grow with the logarithm of the blocks.
     """
     blocks, seed = F.col("blocks"), F.lit(s.seed)
 
     def step(x, r):
         other = F.pmod(F.pmod(F.xxhash64(seed, r, "no", "pass"), blocks) + blocks - x, blocks)
-        swap = F.xxhash64(seed, r + ROUNDS, "no", "pass", F.greatest(x, other))
+        swap = F.xxhash64(seed, -r, "no", "pass", F.greatest(x, other))
         return F.when(swap.bitwiseAND(F.lit(1)) == 1, other).otherwise(x)
-    rounds = F.sequence(F.lit(1), F.lit(ROUNDS))
+    rounds = F.sequence(F.lit(1), F.length(F.bin(blocks)) + ROUNDS)
     return rows.withColumn(index, F.aggregate(rounds, F.col(index).cast("bigint"), step))
 
 
-def block_counts(sources: DataFrame, s: Settings) -> DataFrame:
-    """How often the mix takes each block: (no, index, times)."""
+def placements(sources: DataFrame, s: Settings) -> DataFrame:
+    """The block that each slot of the mix reads: (shard, slot, no, index)."""
     mix = (slots(sources, s).join(sources.select("no", "blocks"), "no")
            .withColumn("pass", F.floor(F.col("j") / F.col("blocks")))
            .withColumn("_x", F.col("j") % F.col("blocks")))
-    return (permuted(mix, s).groupBy("no", F.col("_x").alias("index"))
-            .agg(F.count(F.lit(1)).alias("times")))
+    return permuted(mix, s).select("shard", "slot", "no", F.col("_x").alias("index"))
+
+
+def block_counts(sources: DataFrame, s: Settings) -> DataFrame:
+    """How often the mix takes each block, and its first slot: (no, index, times, first_slot)."""
+    return placements(sources, s).groupBy("no", "index").agg(
+        F.count(F.lit(1)).alias("times"), F.min("slot").alias("first_slot"))
 
 
 def parts(sizes: DataFrame, sources: DataFrame, s: Settings) -> DataFrame:
-    """Stretches of a document that lie in one block: (row, no, index, first, words)."""
+    """Stretches of a document that lie in one block: (row, no, index, first, words, at).
+
+    ``first`` counts words in the document, ``at`` in the block.
+    """
     stream = running_totals(sizes.where("size > 0"), ["doc_id", "row"], ["size"], ["source"])
     numbered = stream.join(sources.select(F.col("source").alias("_s"), "no"),
                            F.col("source").eqNullSafe(F.col("_s")))
@@ -189,7 +204,8 @@ def parts(sizes: DataFrame, sources: DataFrame, s: Settings) -> DataFrame:
     first = F.greatest(F.col("start"), F.col("index") * s.block)
     last = F.least(F.col("end"), (F.col("index") + 1) * s.block)
     return spread.select("row", "no", "index", (first - F.col("start")).alias("first"),
-                         (last - first).alias("words"))
+                         (last - first).alias("words"),
+                         (first - F.col("index") * s.block).alias("at"))
 
 
 def mix(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id", source: str = "source",
@@ -202,14 +218,47 @@ def mix(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id", source:
 
 
 def mix_sizes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """Per document: size, source_size, target and the words the mix takes of it."""
+    """Per document: size, source_size, target and the words the mix takes of it.
+
+    ``first_shard`` and ``first_slot`` name its first place in the mix, null if nothing is taken.
+    """
     sizes, sources, taken = mix(docs, s)
-    words = taken.groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("_taken"))
+    words = taken.groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("_taken"),
+                                     F.min("first_slot").alias("first_slot"))
     named = sources.select(F.col("source").alias("_s"), "source_size", "target")
     return (sizes.join(words, "row", "left")
             .join(named, F.col("source").eqNullSafe(F.col("_s")))
             .select("doc_id", "size", "source_size", "target",
-                    F.coalesce("_taken", F.lit(0)).alias("taken")))
+                    F.coalesce("_taken", F.lit(0)).alias("taken"),
+                    (F.col("first_slot") / s.shard).cast("bigint").alias("first_shard"),
+                    "first_slot"))
+
+
+def mixed_blocks(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id",
+                 source: str = "source", text: str = "text") -> DataFrame:
+    """The mix as it is read: (shard, slot, source, text), one row per slot.
+
+    A block's text is its words in order, with one space between them.
+    """
+    slim = materialise(docs.select(
+        F.col(f"`{key}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"),
+        F.col(f"`{text}`").alias("text"), F.monotonically_increasing_id().alias("row")),
+        "documents")
+    sizes = sized(slim, row="row")
+    sources = targets(sizes, s)
+    spans = parts(sizes, sources, s).groupBy("row").agg(
+        F.collect_list(F.struct("no", "index", "at", "first", "words")).alias("spans"))
+    held = slim.join(spans, "row").select("spans", words(whole("text")).alias("all"))
+    pieces = held.select(F.inline(F.transform("spans", lambda p: F.struct(
+        p["no"].alias("no"), p["index"].alias("index"), p["at"].alias("at"),
+        F.array_join(F.slice("all", (p["first"] + 1).cast("int"), p["words"].cast("int")), " ")
+        .alias("piece")))))
+    blocks = pieces.groupBy("no", "index").agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.struct("at", "piece"))), lambda p: p["piece"]), " ")
+        .alias("text"))
+    names = sources.select("no", "source")
+    return (placements(sources, s).join(blocks, ["no", "index"]).join(names, "no")
+            .select("shard", "slot", "source", "text"))
 
 
 def mixed_documents(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id",

@@ -89,3 +89,43 @@ def test_mixed_documents_hold_the_taken_words(docs, records, no_docs):
         taken[r["doc_id"]] = taken.get(r["doc_id"], 0) + r["taken"]
     assert words == {i: n for i, n in taken.items() if n}
     assert m.mixed_documents(no_docs, SMALL).count() == 0
+
+
+def test_blocks_of_the_mix_follow_the_draws(docs, records, no_docs):
+    per_draw = {}
+    for draw in (0, 1):
+        s = m.Settings(block=8, shard=64, draw=draw)
+        blocks = m.mixed_blocks(docs, s).collect()
+        assert sorted(r["slot"] for r in blocks) == list(range(len(blocks)))
+        assert all(r["shard"] == r["slot"] // s.shard for r in blocks)
+        counted = {r["doc_id"]: 0 for r in m.mix_sizes(docs, s).collect()}
+        first, taken = {}, {}
+        for r in m.mix_sizes(docs, s).collect():
+            counted[r["doc_id"]] += r["taken"]
+            assert (r["first_slot"] is None) == (r["taken"] == 0)
+            assert r["taken"] == 0 or r["first_shard"] == r["first_slot"] // s.shard
+        for r in blocks:
+            taken[r["source"]] = taken.get(r["source"], 0) + size(r["text"])
+            first.setdefault(r["shard"], []).append((r["source"] or "", r["text"]))
+        assert sum(taken.values()) == sum(counted.values())
+        per_draw[draw] = counted, taken, first
+    (counted, taken, shards), (counted_1, taken_1, shards_1) = per_draw[0], per_draw[1]
+    assert counted == counted_1 and taken == taken_1
+    assert any(sorted(shards[i]) != sorted(shards_1[i]) for i in shards)
+    assert sorted(sum(shards.values(), [])) == sorted(sum(shards_1.values(), []))
+    assert m.mixed_blocks(no_docs, SMALL).count() == 0
+
+
+def test_blocks_hold_the_words_of_their_source(docs, records):
+    streams = {}
+    for r in sorted((r for r in records if r[0] not in (None, 5)), key=lambda r: r[0]):
+        streams.setdefault(r[3], set()).update(re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))
+    extra = {w for r in records if r[0] in (None, 5) for w in size_words(r[1])}
+    for r in m.mixed_blocks(docs, SMALL).collect():
+        found = size_words(r["text"])
+        assert 0 < len(found) <= SMALL.block
+        assert set(found) <= streams[r["source"]] | extra
+
+
+def size_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
