@@ -164,14 +164,16 @@ def permuted(rows: DataFrame, s: Settings, index: str = "_x") -> DataFrame:
     pair, which keeps it one to one for any number of blocks. A round doubles the places that
     x can reach, so the rounds grow with the logarithm of the blocks.
     """
-    blocks, seed = F.col("blocks"), F.lit(s.seed)
+    blocks, own = F.col("blocks"), F.col("_own")
 
     def step(x, r):
-        other = F.pmod(F.pmod(F.xxhash64(seed, r, "no", "pass"), blocks) + blocks - x, blocks)
-        swap = F.xxhash64(seed, -r, "no", "pass", F.greatest(x, other))
+        other = F.pmod(F.pmod(F.xxhash64(own, r), blocks) - x, blocks)
+        swap = F.xxhash64(own, -r, F.greatest(x, other))
         return F.when(swap.bitwiseAND(F.lit(1)) == 1, other).otherwise(x)
     rounds = F.sequence(F.lit(1), F.length(F.bin(blocks)) + ROUNDS)
-    return rows.withColumn(index, F.aggregate(rounds, F.col(index).cast("bigint"), step))
+    known = rows.withColumn("_own", F.xxhash64(F.lit(s.seed), "no", "pass"))
+    return known.withColumn(index, F.aggregate(
+        rounds, F.col(index).cast("bigint"), step)).drop("_own")
 
 
 def placements(sources: DataFrame, s: Settings) -> DataFrame:
