@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellpulse import schema
-from cellpulse.plans import alerts as al, monitoring as mo
+from cellpulse.plans import alerts as al, monitoring as mo, paging
 from cellpulse.session import new_path, rounded
 from cellpulse.sources import files, tables
 from cellpulse.sources.kpi_view import kpi_view, predictions_table, raw_records
@@ -62,6 +62,20 @@ def q_predictions_deep(spark, sf):
     return rounded(mo.predictions(predictions_table(spark, sf), limit=300, offset=450))
 
 
+def q_page_keyset(spark, sf):
+    """The third page of 200 rows, reached by the cursors of the two before."""
+    df, newest, mark = predictions_table(spark, sf), ["timestamp", "id"], None
+    for _ in range(2):
+        mark = paging.cursor(paging.page_after(df, newest, mark, 200).collect()[-1], newest)
+    return rounded(paging.page_after(df, newest, mark, 200))
+
+
+def q_page_jump(spark, sf):
+    """A page at a position, found from counts per unit of time."""
+    return rounded(paging.page_at(predictions_table(spark, sf), ["timestamp", "id"], 120, 333,
+                                  top_rows=150))
+
+
 def q_network(spark, sf):
     return rounded(mo.network(predictions_table(spark, sf), cell_id="gNB-009", limit=50, offset=3))
 
@@ -236,6 +250,7 @@ def q_sla_status_nested(spark, sf):
 
 MONITORING = {f.__name__: f for f in [
     src_csv_roundtrip, src_row_batch, src_schema_evolve, q_predictions, q_predictions_deep,
+    q_page_keyset, q_page_jump,
     q_network, q_alerts, q_cells, q_in_filter, q_top_cells, q_alert_board, q_dedup,
     q_drop_cols_nulls, q_recent_anomalies, join_sla_broadcast, join_dominant_left, q_sla_status,
     q_sla_status_nested, q_network_health, q_health_totals, q_severity_ranking, q_dominant_type,

@@ -57,6 +57,10 @@ MONITORING_SQL = {
         'ORDER BY "timestamp" DESC, id DESC LIMIT 100 OFFSET 5'),
     "q_predictions_deep": with_kpi(
         f'SELECT {_PRED} FROM kpi ORDER BY "timestamp" DESC, id DESC LIMIT 300 OFFSET 450'),
+    "q_page_keyset": with_kpi(
+        f'SELECT {_PRED} FROM kpi ORDER BY "timestamp" DESC, id DESC LIMIT 200 OFFSET 400'),
+    "q_page_jump": with_kpi(
+        f'SELECT {_PRED} FROM kpi ORDER BY "timestamp" DESC, id DESC LIMIT 120 OFFSET 333'),
     "q_network": with_kpi(
         f"SELECT {cols(schema.NETWORK_COLUMNS)} FROM kpi WHERE cell_id = 'gNB-009' "
         'ORDER BY kpi."timestamp" DESC, id DESC LIMIT 50 OFFSET 3'),

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cellpulse import schema
 from cellpulse.functions.scalar import hour_bucket, hour_label, hours_before, meets
+from cellpulse.plans.paging import page_at, sorted_page
 from cellpulse.session import materialise
 
 
@@ -14,12 +15,12 @@ def _rows():
 def page(df: DataFrame, newest: list, limit: int, offset: int = 0) -> DataFrame:
     """Rows ``offset`` to ``offset + limit``, newest first; null keys come last.
 
-    Spark takes a per-task top-k, or a range-partitioned sort where offset + limit exceeds
-    ``spark.sql.execution.topKSortFallbackThreshold``.
+    A top-k where it stays small; deep pages are found from counts per unit of time. The first
+    sort column is then a time, and the columns together are unique.
     """
     if limit < 0 or offset < 0:
         raise ValueError("limit and offset must not be negative")
-    return df.orderBy(*[F.desc(c) for c in newest]).offset(offset).limit(limit)
+    return page_at(df, newest, limit, offset) if offset else sorted_page(df, newest, limit)
 
 
 def _equal(df: DataFrame, **wanted) -> DataFrame:
