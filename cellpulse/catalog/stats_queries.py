@@ -63,6 +63,17 @@ def stat_normality(spark, sf):
                    .select("kpi", "n", "skew", "excess_kurtosis", "jb", "normal"), 3)
 
 
+def stat_shapiro_francia(spark, sf):
+    """W of every KPI as it is and under increasing transforms, from one ordering."""
+    rows = st.shapiro_francia(_raw(spark, sf), schema.KPIS, st.MONOTONE)
+    return rounded(rows, 6, z=3)
+
+
+def stat_most_normal(spark, sf):
+    return rounded(st.most_normal(
+        st.shapiro_francia(_raw(spark, sf), schema.KPIS, st.MONOTONE)))
+
+
 def stat_corr(spark, sf):
     return rounded(st.correlation(_raw(spark, sf), schema.KPIS))
 
@@ -95,6 +106,7 @@ def stat_percentile_cut(spark, sf):
 
 STATS = {f.__name__: f for f in [
     stat_describe, stat_mean_diff, stat_discriminance, stat_crosstab, stat_crosstab_types,
-    stat_chi2, stat_mannwhitney, stat_mannwhitney_p, stat_kruskal, stat_normality, stat_corr,
+    stat_chi2, stat_mannwhitney, stat_mannwhitney_p, stat_kruskal, stat_normality,
+    stat_shapiro_francia, stat_most_normal, stat_corr,
     stat_strong_pairs, stat_histogram, stat_histogram_by_class, stat_mean_median, stat_boxplot,
     stat_percentile_cut]}

@@ -2,6 +2,7 @@
 
 from cellpulse import schema
 from cellpulse.catalog.kpi_sql import long_kpis, r, with_kpi
+from cellpulse.functions.tails import normal_score_sql
 
 _LONG = long_kpis()
 _PAIRS = [(a, b) for i, a in enumerate(schema.KPIS) for b in schema.KPIS[i + 1:]]
@@ -22,6 +23,15 @@ ranked AS (SELECT kpi, {g} AS g, v,
     + (count(*) OVER (PARTITION BY kpi, v) - 1) / 2.0::DOUBLE AS mid,
   count(*) OVER (PARTITION BY kpi, v) AS t FROM long {where})"""
 
+_TRANSFORMS = {"none": "v", "cube_root": "sign(v) * cbrt(abs(v))",
+               "log": "sign(v) * ln(1 + abs(v))", "square_root": "sign(v) * sqrt(abs(v))"}
+_SCORED = ("normal_scores AS (SELECT kpi, v, " + normal_score_sql(
+    "((row_number() OVER (PARTITION BY kpi ORDER BY v) - 0.375::DOUBLE) / "
+    "(count(*) OVER (PARTITION BY kpi) + 0.25::DOUBLE))") + " AS m FROM long)")
+_SHAPIRO = "shapiro AS (" + " UNION ALL ".join(
+    f"SELECT kpi, '{name}' AS transform, count(*) AS n, corr({text}, m) ** 2 AS w "
+    "FROM normal_scores GROUP BY kpi" for name, text in _TRANSFORMS.items()) + ")"
+
 
 def _chi2(name: str, a: str, b: str, where: str = "") -> str:
     return (f"SELECT n, CASE WHEN dof = 1 THEN yates ELSE plain END AS chi2, dof, '{name}' AS test "
@@ -80,6 +90,15 @@ STATS_SQL = {
         "SELECT kpi, count(*) AS n, avg((v - m) ** 3) / pow(avg((v - m) ** 2), 1.5) AS sk, "
         "avg((v - m) ** 4) / pow(avg((v - m) ** 2), 2) - 3 AS ku FROM "
         "(SELECT kpi, v, avg(v) OVER (PARTITION BY kpi) AS m FROM long) GROUP BY kpi)", _LONG),
+    "stat_shapiro_francia": with_kpi(
+        "SELECT kpi, transform, n, round(w, 6) AS w, round(z, 3) AS z, z < 1.6448536269514722 "
+        "AS normal FROM (SELECT *, (ln(1 - w) - (-1.2725 + 1.0521 * (ln(ln(n)) - ln(n)))) / "
+        "(1.0308 - 0.26758 * (ln(ln(n)) + 2 / ln(n))) AS z FROM shapiro)",
+        _LONG, _SCORED, _SHAPIRO),
+    "stat_most_normal": with_kpi(
+        "SELECT kpi, transform AS best_transform, round(w, 6) AS w FROM (SELECT *, row_number() "
+        "OVER (PARTITION BY kpi ORDER BY w DESC, transform) AS rn FROM shapiro) WHERE rn = 1",
+        _LONG, _SCORED, _SHAPIRO),
     "stat_corr": with_kpi("SELECT kpi_x, kpi_y, round(r, 6) AS r FROM corr_rows", _CORR),
     "stat_strong_pairs": with_kpi(
         "SELECT kpi_x, kpi_y, round(r, 3) AS r FROM corr_rows WHERE abs(r) > 0.7", _CORR),

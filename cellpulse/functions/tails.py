@@ -62,3 +62,35 @@ def normal_quantile(share):
     far = np.sqrt(-np.log(np.maximum(0.5 - np.abs(q), 1e-10))) - 1.6
     tail = np.sign(q) * np.polyval(_TAIL_TOP, far) / np.polyval(_TAIL_BOTTOM, far)
     return np.where(np.abs(q) <= 0.425, centre, tail)
+
+
+def _horner(x: Column, factors: list) -> Column:
+    total = F.lit(factors[0])
+    for factor in factors[1:]:
+        total = total * x + F.lit(factor)
+    return total
+
+
+def normal_score(share: Column) -> Column:
+    """``normal_quantile`` as a column expression."""
+    q = share - 0.5
+    near = 0.180625 - q * q
+    far = F.sqrt(-F.log(F.greatest(0.5 - F.abs(q), F.lit(1e-10)))) - 1.6
+    return F.when(F.abs(q) <= 0.425,
+                  q * _horner(near, _CENTRE_TOP) / _horner(near, _CENTRE_BOTTOM)).otherwise(
+        F.signum(q) * _horner(far, _TAIL_TOP) / _horner(far, _TAIL_BOTTOM))
+
+
+def normal_score_sql(share: str) -> str:
+    """The same as SQL text for another engine."""
+    def poly(x, factors):
+        text = repr(factors[0])
+        for factor in factors[1:]:
+            text = f"({text} * {x} + {factor!r})"
+        return text
+    q = f"({share} - 0.5::DOUBLE)"
+    near = f"(0.180625::DOUBLE - {q} * {q})"
+    far = f"(sqrt(-ln(greatest(0.5::DOUBLE - abs({q}), 1e-10::DOUBLE))) - 1.6::DOUBLE)"
+    return (f"CASE WHEN abs({q}) <= 0.425 THEN {q} * {poly(near, _CENTRE_TOP)} / "
+            f"{poly(near, _CENTRE_BOTTOM)} ELSE sign({q}) * {poly(far, _TAIL_TOP)} / "
+            f"{poly(far, _TAIL_BOTTOM)} END")
