@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellpulse import schema
-from cellpulse.plans import alerts as al, monitoring as mo, paging
-from cellpulse.session import new_path, rounded
+from cellpulse.plans import alerts as al, monitoring as mo, paging, rollup
+from cellpulse.session import materialise, new_path, rounded
 from cellpulse.sources import files, tables
 from cellpulse.sources.kpi_view import kpi_view, predictions_table, raw_records
 
@@ -248,6 +248,54 @@ def q_sla_status_nested(spark, sf):
                          latency["meets_sla"].alias("latency_meets_sla"))
 
 
+# ---- the same from hourly partials ---------------------------------------
+
+def _partials(spark, sf, hours=None):
+    """Stored roll-up of all records, all of it or cut to the last hours."""
+    df = kpi_view(spark, sf)
+    made = rollup.build(df)
+    parts = rollup.Rollup(materialise(made.counts, "counts"), materialise(made.devices, "devices"))
+    return rollup.scope(parts, df, latest(df), hours) if hours else parts
+
+
+def roll_network_health(spark, sf):
+    return rollup.network_health(_partials(spark, sf, 24))
+
+
+def roll_health_totals(spark, sf):
+    return rollup.health_totals(_partials(spark, sf, 24))
+
+
+def roll_sla_status(spark, sf):
+    return rollup.sla_status(_partials(spark, sf), al.thresholds_table(spark))
+
+
+def roll_timeline(spark, sf):
+    return rollup.timeline(_partials(spark, sf, 24))
+
+
+def roll_timeline_by_type(spark, sf):
+    return rollup.timeline_by_type(_partials(spark, sf, 24 * 30))
+
+
+def roll_type_distribution(spark, sf):
+    return rollup.type_distribution(_partials(spark, sf))
+
+
+def roll_severity_ranking(spark, sf):
+    return rollup.severity_ranking(_partials(spark, sf))
+
+
+def roll_anomaly_summary(spark, sf):
+    return rollup.anomaly_head(_partials(spark, sf, 24)).drop("dominant_anomaly_type",
+                                                             "avg_anomaly_duration_min")
+
+
+def roll_avg_duration(spark, sf):
+    return rollup.anomaly_head(_partials(spark, sf)).select(
+        "dominant_anomaly_type", "avg_anomaly_duration_min")
+
+
 MONITORING = {f.__name__: f for f in [
     src_csv_roundtrip, src_row_batch, src_schema_evolve, q_predictions, q_predictions_deep,
     q_page_keyset, q_page_jump,
@@ -257,4 +305,6 @@ MONITORING = {f.__name__: f for f in [
     q_anomaly_summary, q_type_distribution, q_avg_duration, q_timeline, q_timeline_by_type,
     q_breach_trend, q_timeline_rollup, q_value_counts, q_rate_by_slice, q_daily, q_daily_stats,
     q_compliance, q_profile, q_live_counters, q_live_top_cells, q_live_top_types, alerts_eval,
-    alerts_breach_counts]}
+    alerts_breach_counts, roll_network_health, roll_health_totals, roll_sla_status, roll_timeline,
+    roll_timeline_by_type, roll_type_distribution, roll_severity_ranking, roll_anomaly_summary,
+    roll_avg_duration]}

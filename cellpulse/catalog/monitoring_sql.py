@@ -208,3 +208,8 @@ MONITORING_SQL = {
         "SELECT slice_type, kpi, severity, count(*) AS alerts, "
         "round(avg(kpi_value), 6) AS avg_value FROM alerts GROUP BY ALL"),
 }
+
+# Hourly partials give the rows that the records give.
+MONITORING_SQL.update({f"roll_{name}": MONITORING_SQL[f"q_{name}"] for name in (
+    "network_health", "health_totals", "sla_status", "timeline", "timeline_by_type",
+    "type_distribution", "severity_ranking", "anomaly_summary", "avg_duration")})

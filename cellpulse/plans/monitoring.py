@@ -143,7 +143,7 @@ def recent(df: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
     return df.where(F.col("ingested_at") >= since)
 
 
-def _status(rate: Column) -> Column:
+def status_of(rate: Column) -> Column:
     return F.when(rate < 0.02, "Healthy").when(rate < 0.07, "Degraded").otherwise("Critical")
 
 
@@ -157,7 +157,7 @@ def network_health(df: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
         F.max("actual_anomaly_type").alias("dominant_anomaly_type"),
         F.countDistinct("ue_id").alias("ue_count"))
     rate = _rate("anomaly_count")
-    return (per_cell.withColumn("anomaly_rate", F.round(rate, 4)).withColumn("status", _status(rate))
+    return (per_cell.withColumn("anomaly_rate", F.round(rate, 4)).withColumn("status", status_of(rate))
             .orderBy(F.desc_nulls_last("anomaly_count"), "cell_id"))
 
 
@@ -174,7 +174,7 @@ def health_totals(df: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
         F.sum("n").alias("total"), F.sum("a").alias("anomaly_count"),
         (F.grouping("cell_id") == 0).alias("_cell"))
     cell, device = F.col("_cell"), ~F.col("_cell") & F.col("ue_id").isNotNull()
-    status = _status(_rate("anomaly_count"))
+    status = status_of(_rate("anomaly_count"))
     return sides.agg(
         F.count_if(cell).alias("total_cells"),
         *[F.count_if(cell & (status == s)).alias(s.lower())

@@ -110,6 +110,16 @@ ALERTS = _struct([
     ("alert_action", T.StringType()), ("severity", T.StringType()),
     ("created_at", T.TimestampNTZType())])
 
+ROLLUP_COUNTS = _struct(
+    [("hour", T.TimestampNTZType()), ("cell_id", T.StringType()), ("slice_type", T.StringType()),
+     ("ml_anomaly_type", T.StringType()), ("actual_anomaly_type", T.StringType()),
+     ("n", T.LongType()), ("ml", T.LongType()), ("flagged", T.LongType()), ("actual", T.LongType())]
+    + [part for k in SLA_KPIS for part in ((f"{k}_n", T.LongType()), (f"{k}_sum", T.DoubleType()))])
+
+ROLLUP_DEVICES = _struct([
+    ("hour", T.TimestampNTZType()), ("cell_id", T.StringType()), ("slice_type", T.StringType()),
+    ("ue_id", T.StringType()), ("n", T.LongType())])
+
 FACT_PREDICTIONS = _struct([
     ("timestamp", T.TimestampNTZType()), ("cell_id", T.StringType()), ("ue_id", T.StringType()),
     ("slice_type", T.StringType()), ("kpi_name", T.StringType()),

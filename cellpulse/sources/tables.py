@@ -24,13 +24,18 @@ def batch_path(root: str, day, batch: int) -> str:
     return f"{root}/ingest_date={day}/batch_id={batch}"
 
 
+RECORDS = {"predictions": schema.PREDICTIONS, "alerts": schema.ALERTS,
+           "counts": schema.ROLLUP_COUNTS, "devices": schema.ROLLUP_DEVICES}
+
+
 def init_tables(spark: SparkSession, root: str) -> dict:
-    """Create the two empty tables where missing; existing data stays. Returns their paths.
+    """Create the empty tables where missing; existing data stays. Returns their paths.
 
-    ``bad`` is the folder for unreadable messages.
+    ``counts`` and ``devices`` hold hourly partials of the predictions; ``bad`` is the folder for
+    unreadable messages.
     """
-    paths = {"predictions": f"{root}/predictions", "alerts": f"{root}/alerts"}
-    for name, record in (("predictions", schema.PREDICTIONS), ("alerts", schema.ALERTS)):
+    paths = {name: f"{root}/{name}" for name in RECORDS}
+    for name, record in RECORDS.items():
         if not path_exists(spark, paths[name]):
             (spark.createDataFrame([], StructType(record.fields + PARTITIONS.fields))
              .write.mode("ignore").partitionBy(*PARTITIONS.names).parquet(paths[name]))
@@ -47,6 +52,11 @@ def read_table(spark: SparkSession, path: str, target: StructType,
     return rows.select(*target.names, *(PARTITIONS.names if partitions else []))
 
 
+def read_rollup(spark: SparkSession, paths: dict) -> list:
+    """The two frames of hourly partials, pruned to days by their folders."""
+    return [read_table(spark, paths[name], RECORDS[name]) for name in ("counts", "devices")]
+
+
 def compact(spark: SparkSession, path: str, target: StructType, day, to: str, files: int = 1):
     """Rewrite one closed day of a table as a few files sorted by cell under another root."""
     rows = read_table(spark, path, target, partitions=True).where(F.col("ingest_date") == day)

@@ -7,9 +7,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from cellpulse import schema
 from cellpulse.functions.scalar import decode
+from cellpulse.plans import rollup
 from cellpulse.plans.alerts import evaluate_sla
 from cellpulse.plans.features import serving_features
-from cellpulse.sources.tables import batch_path, conform
+from cellpulse.sources.tables import RECORDS, batch_path, conform
 from cellpulse.streaming import ledger
 from cellpulse.streaming.messages import message
 
@@ -96,10 +97,12 @@ def start_scoring(messages: DataFrame, binary, multiclass, target: str, checkpoi
 def _places(spark, paths: dict, batch: int) -> dict:
     """Day and folders of a batch as its manifest names them; the first attempt writes it."""
     day = str(spark.sql("SELECT current_date() AS d").first()["d"])
-    return ledger.once(
+    held = [name for name in RECORDS if name in paths]
+    found = ledger.once(
         spark, ledger.record_path(f"{paths['predictions']}/{MANIFEST}", batch),
-        {"batch": batch, "day": day,
-         **{name: batch_path(paths[name], day, batch) for name in ("predictions", "alerts")}})
+        {"batch": batch, "day": day, **{name: batch_path(paths[name], day, batch) for name in held}})
+    # A manifest written before a table existed names only its day.
+    return {**{name: batch_path(paths[name], found["day"], batch) for name in held}, **found}
 
 
 def start_ingest(messages: DataFrame, paths: dict, thresholds: DataFrame, checkpoint: str,
@@ -110,7 +113,7 @@ def start_ingest(messages: DataFrame, paths: dict, thresholds: DataFrame, checkp
     names them before a row is written, so a batch that is run again, however late, replaces its
     rows and leaves no double ones. ``id`` is unique within a batch; ``batch_id`` and
     ``id`` name a record, whatever the number of batches and tasks. Unreadable messages are kept
-    under ``paths["bad"]``. Alerts are read off the stored predictions.
+    under ``paths["bad"]``. Alerts and hourly partials are read off the stored predictions.
     """
     records = parse(messages, schema.SCORED_RECORD)
 
@@ -126,6 +129,9 @@ def start_ingest(messages: DataFrame, paths: dict, thresholds: DataFrame, checkp
         rows.write.mode("overwrite").parquet(place)
         stored = spark.read.schema(schema.PREDICTIONS).parquet(place)
         evaluate_sla(stored, thresholds).write.mode("overwrite").parquet(places["alerts"])
+        for name, part in rollup.build(stored)._asdict().items():
+            if name in places:
+                part.write.mode("overwrite").parquet(places[name])
     return (records.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "1 second"})).start())
 
