@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cellpulse import schema
 from cellpulse.operators import lookback
-from cellpulse.plans import alerts as al, forecast as fc
+from cellpulse.plans import alerts as al, forecast as fc, lag_forecast as lag
 from cellpulse.session import materialise, new_path, rounded
 from cellpulse.sources import files
 from cellpulse.sources.kpi_view import kpi_view
@@ -122,8 +122,28 @@ def fc_window_facts(spark, sf):
         fc.score_all(kpi_view(spark, sf), kpi) for kpi in schema.FORECAST_UNITS])
 
 
+def fc_lag_moments(spark, sf):
+    """Mean products of each KPI with its own values one and twelve rows before."""
+    sums = lag.moments(lag.series(kpi_view(spark, sf), schema.SLA_KPIS, train_share=1.0))
+    one, twelve = 2 + 7 * 11, 2  # places of the KPI itself
+    cells = {"n": (0, 0), "mean": (0, 1), "lag_1": (1, one), "lag_12": (1, twelve),
+             "between": (twelve, one)}
+    wide = sums.groupBy("kpi").agg(*[
+        F.max(F.when((F.col("i") == i) & (F.col("j") == j), F.col("s"))).alias(name)
+        for name, (i, j) in cells.items()])
+    return rounded(wide.select("kpi", F.col("n").cast("long").alias("n"), *[
+        (F.col(c) / F.col("n")).alias(c) for c in cells if c != "n"]), 5)
+
+
+def fc_ridge(spark, sf):
+    """Scores of the ridge forecast of all KPIs on the later fifth of every cell's series."""
+    cut = lag.series(kpi_view(spark, sf), schema.SLA_KPIS)
+    scored = lag.predict(cut, lag.solve(lag.moments(cut))).where("NOT train")
+    return rounded(fc.forecast_metrics(scored, fc.tolerances(), ["kpi"]), 4)
+
+
 FORECAST = {f.__name__: f for f in [
     win_lead_target, win_sequences, win_sequences_global, win_last_n, q_latest_slice, fc_linear,
     fc_history,
     fc_linear_all, fc_sla_status, fc_sla_worst_case, fc_metrics, fc_fact_rows, fc_samples,
-    fact_union, fc_window_model, fc_window_facts]}
+    fact_union, fc_window_model, fc_window_facts, fc_lag_moments, fc_ridge]}

@@ -121,3 +121,15 @@ FORECAST_SQL = {
         f"FROM ({_persist(_L)}) WHERE rn > 12) "
         "WHERE i IN (0, n // 3, 2 * n // 3, n - 1)"),
 }
+
+
+def _lag_moments(kpi: str) -> str:
+    o = f"(PARTITION BY cell_id ORDER BY {_ORDER})"
+    return (f"SELECT '{kpi}' AS kpi, count(*) AS n, round(avg(v), 5) AS mean, "
+            "round(avg(v * a), 5) AS lag_1, round(avg(v * b), 5) AS lag_12, "
+            f"round(avg(a * b), 5) AS \"between\" FROM (SELECT {kpi} AS v, lag({kpi}, 1) OVER {o} AS a, "
+            f"lag({kpi}, 12) OVER {o} AS b FROM kpi) WHERE b IS NOT NULL")
+
+
+FORECAST_SQL["fc_lag_moments"] = with_kpi(
+    " UNION ALL ".join(_lag_moments(kpi) for kpi in schema.SLA_KPIS))
