@@ -77,10 +77,10 @@ def ml_importances(spark, sf):
 
 def ml_gbt(spark, sf):
     train, test = _split(spark, sf)
-    binary = md.fit(md.gradient_boosting(maxIter=10), train, STRICT)
-    multi = md.fit(md.gradient_boosting("y_type", classes=9, maxIter=3, maxDepth=2), train, STRICT)
-    return (_name(md.binary_scores(binary.transform(test)).select(*ev.METRICS), "binary")
-            .unionByName(_name(md.summary_scores(multi.transform(test), "y_type"), "multiclass")))
+    binary, _ = md.boost(train, STRICT)
+    multi, _ = md.boost(train, STRICT, "y_type", classes=9, maxIter=10)
+    return (_name(ev.binary_metrics(binary(test), "y", "prediction").select(*ev.METRICS), "binary")
+            .unionByName(_name(md.summary_scores(multi(test), "y_type"), "multiclass")))
 
 
 def ml_logistic(spark, sf):
@@ -103,7 +103,7 @@ def ml_logistic(spark, sf):
 def ml_linear_svm(spark, sf):
     train, test = _split(spark, sf)
     n = train.count()
-    binary = md.fit(md.linear_svm(n, maxIter=20), train, STRICT, scale=True)
+    binary = md.fit(md.linear_svm(n, maxIter=100), train, STRICT, scale=True)
     multi = md.fit(md.linear_svm(n, "y_type", classes=9, maxIter=5), train, STRICT, scale=True)
     return (_name(md.binary_scores(binary.transform(test)).select(*ev.METRICS), "binary")
             .unionByName(_name(md.summary_scores(multi.transform(test), "y_type"), "multiclass")))
