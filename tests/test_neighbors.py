@@ -114,3 +114,28 @@ def test_connected_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r["node"]: r["label"] for r in density.connected(edges).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_many_groups_of_wide_vectors(spark, metric):
+    """Vectors that no pivot separates, in single precision: every query visits every group."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 24)).astype("float32")
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<float>")
+    got = {}
+    for r in neighbors.knn_graph(df, 6, "vec", "id", metric, block_rows=40).collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["n_id"]))
+    want = brute_knn(x.astype("float64"), 6, metric, False)
+    assert {i: [n for _, n in sorted(found)] for i, found in got.items()} == {
+        i: [n for _, n in near] for i, near in want.items()}
+
+
+def test_a_query_travels_once_per_group(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(900, 32)))]
+    points = spark.createDataFrame(rows, "rep long, x array<double>").cache()
+    placed, cells = neighbors.assign_cells(points, "euclidean", block_rows=300)
+    go = neighbors.visits(points.selectExpr("*", "1e9D AS reach"), cells, "reach").collect()
+    assert len(cells.pivots) > 10
+    assert all(sorted(r["go"]) == list(range(len(cells.groups))) for r in go)
+    assert len(cells.groups) <= 6
