@@ -6,6 +6,7 @@ scalings and neighbours cannot leak. The predictions of all candidates on all fo
 and one pass over them gives every metric of every candidate and fold.
 """
 
+import threading
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -32,15 +33,40 @@ def by_pipeline(steps: list):
     return run
 
 
+def neighbour_search(inputs: list, label: str, key: str, k: int, metric: str = "euclidean"):
+    """Scaled neighbours of the test among the training rows, found once for each pair of sides.
+
+    Candidates with up to ``k`` neighbours share it.
+    """
+    found, lock = {}, threading.Lock()
+
+    def look(train: DataFrame, test: DataFrame):
+        with lock:
+            own = found.setdefault((id(train), id(test)), {"lock": threading.Lock()})
+        with own["lock"]:  # other sides are searched meanwhile
+            if "rows" not in own:
+                scale = fe.standard_scaler(train, inputs)
+                vec = F.array(*[F.col(c).cast("double") for c in inputs]).alias("x")
+                refs, asked = (materialise(scale(d).select(key, label, vec), "vectors")
+                               for d in (train, test))
+                near = materialise(neighbors.knn(asked, refs, k, "x", key, metric), "near")
+                # The sides are kept with the rows, so that their ids stay theirs.
+                own["rows"], own["sides"] = (refs, asked, near), (train, test)
+            return own["rows"]
+    return look
+
+
 def by_neighbours(inputs: list, label: str, key: str, k: int, weights: str = "uniform",
-                  metric: str = "euclidean"):
-    """Candidate of scaled nearest neighbours; the score is the share of votes for the result."""
+                  metric: str = "euclidean", search=None):
+    """Candidate of scaled nearest neighbours; the score is the share of votes for the result.
+
+    ``search`` is a ``neighbour_search`` for ``k`` or more neighbours to share.
+    """
+    search = search or neighbour_search(inputs, label, key, k, metric)
+
     def run(train: DataFrame, test: DataFrame) -> DataFrame:
-        scale = fe.standard_scaler(train, inputs)
-        vec = F.array(*[F.col(c).cast("double") for c in inputs]).alias("x")
-        refs, asked = (materialise(scale(d).select(key, label, vec), "vectors")
-                       for d in (train, test))
-        near = materialise(neighbors.knn(asked, refs, k, "x", key, metric), "near")
+        refs, asked, near = search(train, test)
+        near = near.where(F.col("rank") <= k)
         labels = refs.select(F.col(key).alias("n_id"), F.col(label).alias("label"))
         votes = neighbors.knn_vote(near, labels, [k], weights)
         share = near.join(labels, "n_id").groupBy("id").agg(F.avg("label").alias("score"))
@@ -53,11 +79,12 @@ def fold_predictions(df: DataFrame, candidates: dict, label: str, key: str, k: i
                      parallelism: int = 4) -> DataFrame:
     """Stored (candidate, fold, key, label, prediction, score): each row predicted out of fold."""
     folded = materialise(sampling.folds(df, label, key, k), "folds")
+    sides = [(folded.where(F.col("fold") != fold).drop("fold"),
+              folded.where(F.col("fold") == fold).drop("fold")) for fold in range(k)]
 
     def one(task):
         fold, name = task
-        train, test = (folded.where(F.col("fold") != fold).drop("fold"),
-                       folded.where(F.col("fold") == fold).drop("fold"))
+        train, test = sides[fold]
         found = candidates[name](train, test).select(
             F.lit(name).alias("candidate"), F.lit(fold).alias("fold"),
             F.col(key).cast("bigint").alias("key"), F.col(label).cast("double").alias("label"),
