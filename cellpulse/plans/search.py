@@ -102,8 +102,17 @@ def fold_metrics(predicted: DataFrame) -> DataFrame:
 
     One grouped pass counts (label, prediction) pairs; the rest works on those counts.
     """
+    return pair_metrics(pair_counts(predicted))
+
+
+def pair_counts(predicted: DataFrame) -> DataFrame:
+    return predicted.groupBy("candidate", "fold", "label", "prediction").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def pair_metrics(pairs: DataFrame) -> DataFrame:
+    """``fold_metrics`` from counts of (label, prediction) pairs."""
     group = ["candidate", "fold"]
-    pairs = predicted.groupBy(*group, "label", "prediction").agg(F.count(F.lit(1)).alias("n"))
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
     sides = F.explode(F.array(
         F.struct(F.col("label").alias("cls"), F.col("n").alias("support"),
@@ -142,27 +151,35 @@ def learning_curve(df: DataFrame, make, label: str, key: str, shares: list,
                    k: int = 3) -> DataFrame:
     """(share, part, metric, mean, std) over k folds for growing shares of each training side.
 
-    ``make`` gives a candidate that keeps the other columns, such as ``by_pipeline``. Rows are taken in hash order within each class, so each share is a prefix of the next.
+    ``make`` gives a candidate that keeps the other columns, such as ``by_pipeline``. Rows are taken in hash order
+    within each class, so each share is a prefix of the next. A training side is stored once, with the first share of
+    each row; of the predictions only the counts per (label, prediction) are.
     """
     folded = materialise(sampling.folds(df, label, key, k), "folds")
+    grown = sorted(shares)
+    quotas = [lambda n, _, share=share: max(1, int(round(share * n, 9))) for share in grown]
+
+    def mark(fold):
+        train = folded.where(F.col("fold") != fold).drop("fold")
+        marked = sampling.mark_quotas(train, label, key, quotas)
+        return materialise(marked.where("picked_from IS NOT NULL"), "share")
 
     def one(task):
         fold, share = task
-        train, test = (folded.where(F.col("fold") != fold).drop("fold"),
-                       folded.where(F.col("fold") == fold).drop("fold"))
-        part = sampling.mark_quota(train, label, key, lambda n, _: max(1, int(round(share * n, 9))))
-        part = materialise(part.where("picked").drop("picked"), "share")
+        test = folded.where(F.col("fold") == fold).drop("fold")
+        part = sides[fold].where(F.col("picked_from") <= grown.index(share)).drop("picked_from")
         both = part.withColumn("side", F.lit("train")).unionByName(
             test.withColumn("side", F.lit("test")))
         found = make()(part, both).select(
             F.concat(F.lit(f"{share!r} "), "side").alias("candidate"), F.lit(fold).alias("fold"),
             F.col(label).cast("double").alias("label"),
             F.col("prediction").cast("double").alias("prediction"))
-        return materialise(found, "curve")
+        return materialise(pair_counts(found), "curve")
     tasks = [(fold, share) for fold in range(k) for share in shares]
     with ThreadPool(4) as pool:
+        sides = pool.map(inheritable_thread_target(df.sparkSession)(mark), range(k))
         found = pool.map(inheritable_thread_target(df.sparkSession)(one), tasks)
-    table = compare(fold_metrics(reduce(DataFrame.unionByName, found))).drop("best")
+    table = compare(pair_metrics(reduce(DataFrame.unionByName, found))).drop("best")
     spot = F.split("candidate", " ")
     return table.select(spot[0].cast("double").alias("share"), spot[1].alias("part"),
                         "metric", "mean", "std")
