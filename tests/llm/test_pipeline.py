@@ -2,6 +2,7 @@ import re
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 from test_near_dedup import brute
 from tokenizers import Tokenizer
 
@@ -70,3 +71,27 @@ def test_queries_are_registered():
     assert "pipeline" in names
     for number in range(1, 11):
         assert sum(n.startswith(f"op{number}_") for n in names) == 1
+
+
+def test_stages_bound_what_a_worker_gets_at_once(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    docs = spark.range(24, numPartitions=1).select("id", F.repeat(F.lit("a"), 1 << 20).alias("text"))
+
+    def sizes(batches):
+        import pyarrow as pa
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    @corpus_pipeline.bounded_batches
+    def measured(spark, docs, sf_dir):
+        return docs.mapInArrow(sizes, "n bigint")
+    try:
+        got = [r["n"] for r in measured(spark, docs, None).collect()]
+        assert sum(got) >= 24 << 20 and max(got) <= corpus_pipeline.BATCH_BYTES + (2 << 20)
+        assert all(hasattr(stage, "__wrapped__") for _, stage in corpus_pipeline.STAGES)
+        spark.conf.set(name, "64m")         # the session's own bound stays
+        measured(spark, docs, None)
+        assert spark.conf.get(name) == "64m"
+    finally:
+        spark.conf.unset(name)
