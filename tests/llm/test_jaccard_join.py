@@ -2,6 +2,7 @@ import random
 import re
 
 from cellpulse.llm import jaccard_join as m
+from cellpulse.llm.tiles import parity, suspects
 
 
 def shingles(text, size=5):
@@ -104,3 +105,50 @@ def test_text_ids(spark):
     frame = spark.createDataFrame(rows, "name string, body string")
     got = {tuple(r) for r in m.components(frame, "name", "body").collect()}
     assert got == {("a", 2, "a"), ("b", 2, "a"), ("c", 0, "c")}
+
+
+def test_few_hashes_and_texts_are_shuffled(spark, monkeypatch):
+    """Texts that only share a passage stay out of the tiles, and most hashes out of the shuffle."""
+    rng, rows = random.Random(3), []
+    common = " ".join(f"c{i}" for i in range(100))
+    for i in range(120):        # about 0.5 to each other, in one region
+        rows.append((i, common + " " + " ".join(f"o{i}x{k}" for k in range(50 + i % 7))))
+    rows += family(rng, 500, 8, 200, 9)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    stored = {}
+    keep = m.materialise
+
+    def counted(df, name="frame"):
+        stored[name] = keep(df, name)
+        return stored[name]
+    monkeypatch.setattr(m, "materialise", counted)
+    got = sorted(map(tuple, m.components(frame).collect()), key=str)
+    assert got == brute(rows)
+    sets = {r["cls"]: r["doc_id"] for r in stored["sets"].collect()}
+    assert all(sets[r["cls"]] >= 500 for r in stored["suspects"].collect())
+    assert m.prefix(1000, 80, m.spread(1000)) <= 300
+
+
+def test_marks_drop_no_partner():
+    """Members left out have no partner of another label: against brute force, all widths."""
+    import numpy as np
+    rng = np.random.default_rng(8)
+    sets = []
+    for n in (1, 2, 5, 30, 31, 32, 33, 120, 128, 255, 256, 300, 9000, 20000):
+        base = rng.integers(0, 1 << 64, n, np.uint64, endpoint=False)
+        for share in (1.0, 0.97, 0.9, 0.85, 0.81, 0.8, 0.7, 0.4):
+            own = rng.integers(0, 1 << 64, int(n * (1 - share) + n * rng.random() * 0.1), np.uint64)
+            sets.append(np.unique(np.concatenate((base[:max(1, round(n * share))], own))))
+    members = [(i % 40, i % 3, len(x), parity(x)) for i, x in enumerate(sets)]
+    for across in (False, True):
+        kept = suspects(members, across, 80)
+        want = np.zeros(len(sets), bool)
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets[:i]):
+                if members[i][0] != members[j][0] and (
+                        not across or members[i][1] != members[j][1]):
+                    both = len(np.intersect1d(x, y))
+                    if 100 * both >= 80 * (len(x) + len(y) - both):
+                        want[[i, j]] = True
+        assert want.any() and not (want & ~kept).any()
+        assert kept.sum() < len(sets)
