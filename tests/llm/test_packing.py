@@ -1,7 +1,9 @@
+import functools
 import zlib
 
 import numpy as np
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cellpulse.llm import packing as m
@@ -86,3 +88,66 @@ def test_full_cache_changes_nothing():
         assert [small.encode([t])[0] for t in texts] == whole
         again = [small.encode([t])[0] for t in long + long]
         assert again[:2] == again[2:] and all(len(w) <= 64 for w in small.known)
+
+
+class Counted:
+    """A tokenizer that counts the inputs it gets."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.inputs = tokenizer, 0
+
+    def encode_batch_fast(self, inputs, **options):
+        self.inputs += len(inputs)
+        return self.tokenizer.encode_batch_fast(inputs, **options)
+
+
+def test_words_are_encoded_once_and_side_by_side():
+    words = [a + b + c for a in "bdfgklmnpr" for b in "aeiouéяž" for c in "stvwxzbdfg"]
+    texts = [" ".join(w + mark for w in words) for mark in ("", ",", ".", "!!", "'", "<|")]
+    encoder = m.WordEncoder(m.default_tokenizer())
+    encoder.tokenizer = Counted(encoder.tokenizer)
+    got = encoder.encode(texts)
+    assert encoder.tokenizer.inputs < 20
+    tokenizer = Tokenizer.from_file(m.default_tokenizer())
+    assert got == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+                   for t in texts]
+
+
+ODD = [chr(c) for c in [*range(128), *range(0xa0, 0x180), *range(0x400, 0x490), 0x301, 0x307,
+                        0x3a3, 0x4e2d, 0x3002, 0xd55c, 0x1100, 0x1161, 0xb2, 0x2028, 0x3000,
+                        0xfb01, 0x1f600, 0x200d]]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.one_of(
+    st.sampled_from(ODD), st.sampled_from(["the", "Ing", "'s", "'re", "<|endoftext|>", " ", "\n",
+                                           "İ.", "é,", "á!"])), max_size=40).map("".join),
+    max_size=6), st.sampled_from([0, 500, None]), st.booleans())
+def test_ids_are_those_of_whole_texts(texts, room, closing):
+    encoder, closes = _encoder()
+    encoder.known, encoder.room = {}, 10 ** 6 if room is None else room
+    # Models that close no words are encoded word by word.
+    encoder.closes = closes if closing else np.zeros_like(closes)
+    want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+            for t in texts]
+    assert encoder.encode(texts) == want
+    assert encoder.encode(texts[::-1]) == want[::-1]
+
+
+@functools.cache
+def _encoder():
+    made = m.WordEncoder(m.default_tokenizer())
+    return made, made.closes
+
+
+def test_a_text_column_without_a_type_is_empty(docs):
+    out = m.pack(docs.withColumn("text", F.lit(None))).toPandas()
+    assert len(out) == docs.count() and set(out["length"]) == {1}
+
+
+def test_groups_of_texts_hold_every_row_once():
+    import pyarrow as pa
+    for texts in ([], [None], ["", None, "abc"], ["x" * 9, "y", "", "zz" * 30, None, "w"]):
+        groups = list(m._small_groups(pa.array(texts, pa.string()), 10))
+        assert [t for g in groups for t in g.to_pylist()] == texts
+        assert all(sum(len(t or "") for t in g.to_pylist()[:-1]) < 10 for g in groups)
